@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators import snapshots
+from strata.operators import drift, snapshots
 from strata.util import table
 
 TENURE = ["owner", "status", "area_ha", "commodity", "nts_sheet", "issue_date", "good_to_date"]
@@ -21,6 +21,16 @@ def p5_change_counts(spark: SparkSession, folder: str) -> DataFrame:
     return p5_found(spark, folder).groupBy("resource_id", "snapshot_date", "change_kind").agg(F.count("*").alias("n"))
 
 
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    return drift.changes(table(spark, folder, "raw_record"), table(spark, folder, "harvest"))
+
+
+def p4_unified(spark: SparkSession, folder: str) -> DataFrame:
+    """All lines of all files, each table under one set of names; the fields as a JSON object."""
+    unified = drift.unify(table(spark, folder, "raw_record"), table(spark, folder, "harvest"))
+    return unified.withColumn("fields", F.to_json("fields", {"ignoreNullFields": "false"}))
+
+
 _P5 = r"""
 WITH f AS (
   SELECT resource_id, local_path, regexp_extract(local_path, '/([0-9]{4}-[0-9]{2}-[0-9]{2})/[^/]*$', 1) AS d, max(fetched_at) AS t
@@ -42,7 +52,7 @@ c AS (
   FROM n FULL JOIN o ON n.resource_id = o.resource_id AND n.snapshot_date = o.snapshot_date AND n.tenure_id = o.tenure_id)
 """
 
-QUERIES = {"p5_found": p5_found, "p5_change_counts": p5_change_counts}
+QUERIES = {"p4_found": p4_found, "p4_unified": p4_unified, "p5_found": p5_found, "p5_change_counts": p5_change_counts}
 
 ORACLE = {
     "p5_found": _P5 + "SELECT * FROM c WHERE change_kind IS NOT NULL",
