@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import splitting
+from strata.llm import mixing, packing, splitting
 from strata.util import table
 
 
@@ -18,7 +18,30 @@ def p2_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return splitting.split_oversized(table(spark, folder, "rag_chunk"), table(spark, folder, "chunk_limit"))
 
 
-QUERIES = {"p2_found": p2_found, "p2_pieces": p2_pieces}
+def p6_packed(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's place in the containers of each capacity."""
+    return packing.pack(table(spark, folder, "documents"), table(spark, folder, "container_spec"))
+
+
+def p6_fill(spark: SparkSession, folder: str) -> DataFrame:
+    """How full the containers of each capacity are."""
+    return packing.fill(p6_packed(spark, folder))
+
+
+def p7_mixed(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents of each mix with their copies."""
+    return mixing.mix(table(spark, folder, "documents"), table(spark, folder, "mix_target"))[0]
+
+
+def p7_shares(spark: SparkSession, folder: str) -> DataFrame:
+    """The shares that each mix reaches, against its targets."""
+    return mixing.mix(table(spark, folder, "documents"), table(spark, folder, "mix_target"))[1]
+
+
+QUERIES = {
+    "p2_found": p2_found, "p2_pieces": p2_pieces,
+    "p6_packed": p6_packed, "p6_fill": p6_fill, "p7_mixed": p7_mixed, "p7_shares": p7_shares,
+}
 
 ORACLE = {
     "p2_found": r"""
