@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import mixing, packing, splitting
-from strata.util import table
+from strata.llm import mixing, packing, quality, splitting
+from strata.util import cut, table
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -38,9 +38,19 @@ def p7_shares(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"), table(spark, folder, "mix_target"))[1]
 
 
+def p8_found(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.flag(table(spark, folder, "documents"), table(spark, folder, "common_word"))
+
+
+def p8_stats(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's statistics with their percentiles in its language."""
+    return quality.percentiles(cut(quality.statistics(table(spark, folder, "documents"), table(spark, folder, "common_word"))))
+
+
 QUERIES = {
     "p2_found": p2_found, "p2_pieces": p2_pieces,
     "p6_packed": p6_packed, "p6_fill": p6_fill, "p7_mixed": p7_mixed, "p7_shares": p7_shares,
+    "p8_found": p8_found, "p8_stats": p8_stats,
 }
 
 ORACLE = {
