@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import mixing, packing, quality, splitting
+from strata.llm import mixing, names, packing, quality, splitting
 from strata.util import cut, table
 
 
@@ -47,8 +47,18 @@ def p8_stats(spark: SparkSession, folder: str) -> DataFrame:
     return quality.percentiles(cut(quality.statistics(table(spark, folder, "documents"), table(spark, folder, "common_word"))))
 
 
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    return names.linked_pairs(table(spark, folder, "rag_chunk"))
+
+
+def p3_entities(spark: SparkSession, folder: str) -> DataFrame:
+    """Every value of company that names somebody, with the number of values that name the same."""
+    named = cut(names.entities(table(spark, folder, "rag_chunk")))
+    return named.join(named.groupBy("entity").agg((F.count("*") - 1).alias("links")), "entity").select("company", "entity", "links")
+
+
 QUERIES = {
-    "p2_found": p2_found, "p2_pieces": p2_pieces,
+    "p2_found": p2_found, "p2_pieces": p2_pieces, "p3_found": p3_found, "p3_entities": p3_entities,
     "p6_packed": p6_packed, "p6_fill": p6_fill, "p7_mixed": p7_mixed, "p7_shares": p7_shares,
     "p8_found": p8_found, "p8_stats": p8_stats,
 }
