@@ -5,10 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import mixing, names, packing, quality, splitting
+from strata.llm import mixing, names, noise, packing, quality, splitting
 from strata.util import cut, table
 
 
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    return noise.find_noise(table(spark, folder, "rag_chunk"))
+
+
+def p1_repaired(spark: SparkSession, folder: str) -> DataFrame:
+    """The paragraphs of every chunk without the noise of scanned pages."""
+    return noise.repair(table(spark, folder, "rag_chunk"))
+
+
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     return splitting.oversized(table(spark, folder, "rag_chunk"), table(spark, folder, "chunk_limit"))
 
@@ -58,7 +67,7 @@ def p3_entities(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
-    "p2_found": p2_found, "p2_pieces": p2_pieces, "p3_found": p3_found, "p3_entities": p3_entities,
+    "p1_found": p1_found, "p1_repaired": p1_repaired, "p2_found": p2_found, "p2_pieces": p2_pieces, "p3_found": p3_found, "p3_entities": p3_entities,
     "p6_packed": p6_packed, "p6_fill": p6_fill, "p7_mixed": p7_mixed, "p7_shares": p7_shares,
     "p8_found": p8_found, "p8_stats": p8_stats,
 }
