@@ -80,11 +80,11 @@ def nearest(collection: DataFrame, query: Sequence[float], k: int = 10, key: str
 def nearest_of_each(queries: DataFrame, collection: DataFrame, k: int = 10, key: str = "id", vector: str = "embedding", block: int = 1024) -> DataFrame:
     """(query_id, key, distance, rank): the k nearest rows of every query vector, exact.
 
-    Queries come in blocks of `block` vectors, each of which meets every batch of the collection as one matrix product;
+    Queries come in blocks of about `block` vectors, each of which meets every batch of the collection as one matrix product;
     batches keep k rows of a query, and the best of all batches are ranked by query.
     """
-    w = Window.orderBy(key)
-    blocks = queries.select(F.col(key).alias("q"), F.col(vector).alias("v")).withColumn("b", F.floor((F.row_number().over(w) - 1) / block)).groupBy("b").agg(F.collect_list(F.struct("q", "v")).alias("qs"))
+    n_blocks = max(1, -(-queries.count() // block))
+    blocks = queries.select(F.col(key).alias("q"), F.col(vector).alias("v"), F.pmod(F.xxhash64(key), F.lit(n_blocks)).alias("b")).where("v IS NOT NULL").groupBy("b").agg(F.collect_list(F.struct("q", "v")).alias("qs"))
     sc, parts = collection.sparkSession.sparkContext, []
     schema = f"query_id {dict(queries.dtypes)[key]}, {key} {dict(collection.dtypes)[key]}, distance double"
     for row in blocks.orderBy("b").toLocalIterator():
