@@ -12,6 +12,9 @@ from strata.util import cut
 
 #: Cost of a document of n tokens: n + QUADRATIC * n^2, the linear layers and the attention inside the document.
 QUADRATIC = 1 / 4096
+#: Sequences that a round opens, as a share of those that its tokens need at least: fewer sequences are filled more evenly, and
+#: what finds no room goes into the next round.
+OPENED = 0.8
 #: Items that one task packs; the share of a task's last, partly filled containers in all of them falls with it.
 SHARD = 8192
 
@@ -19,13 +22,13 @@ SHARD = 8192
 def assign(sizes: np.ndarray, capacity: int, quadratic: float = QUADRATIC) -> np.ndarray:
     """The sequence of each item; sizes must not increase and none may exceed the capacity.
 
-    Starts with as many sequences as the tokens need. Each item goes to the sequence of the lowest cost that has room for
-    it (equal costs: the first). Items for which no sequence has room go through the same with sequences of their own.
+    Each round opens OPENED of the sequences that its tokens need. An item goes to the sequence of the lowest cost that has
+    room for it (equal costs: the first). Items for which no sequence has room are the next round's.
     """
     out = np.full(len(sizes), -1, dtype=np.int64)
     todo, base = np.arange(len(sizes)), 0
     while len(todo):
-        k = max(1, -(-int(sizes[todo].sum()) // capacity))
+        k = max(1, int(-(-int(sizes[todo].sum()) // capacity) * OPENED))
         room, cost = np.full(k, capacity, dtype=np.int64), np.zeros(k)
         left = []
         for i in todo:
