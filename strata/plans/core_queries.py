@@ -323,9 +323,15 @@ def _pages(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("id", F.left(text, F.lit(3000)).alias("t"))
 
 
+def _texts(spark: SparkSession, d: str) -> DataFrame:
+    """Whole texts put together from chunks, unaltered; the SQL beside the four extractors has the first pages only."""
+    text = F.concat(F.lit("Submitted by: "), F.coalesce("company", F.lit("")), F.lit(".\n"), F.coalesce("chunk_text", F.lit("")))
+    return table(spark, d, "rag_chunk").select("id", text.alias("t"))
+
+
 @query(rf"SELECT id, regexp_extract(t, '\b(\d{{2}}[A-Z](?:\/\d{{1,2}})?(?:\s*[A-Za-z]?\d{{0,2}})?)\b', 1) AS nts_sheet FROM {_PAGE}")
 def q_extract_nts(spark: SparkSession, d: str) -> DataFrame:
-    return _pages(spark, d).select("id", extract.nts_sheet(F.col("t")).alias("nts_sheet"))
+    return _texts(spark, d).select("id", extract.nts_sheet(F.col("t")).alias("nts_sheet"))
 
 
 _COMPANY = (
@@ -336,7 +342,7 @@ _COMPANY = (
 
 @query(f"SELECT id, coalesce(({_COMPANY})[1], '') AS company FROM {_PAGE}")
 def q_extract_company(spark: SparkSession, d: str) -> DataFrame:
-    return _pages(spark, d).select("id", extract.company(F.col("t")).alias("company"))
+    return _texts(spark, d).select("id", extract.company(F.col("t")).alias("company"))
 
 
 _METALS = r"(?i)\b(gold|silver|copper|zinc|lead|nickel|cobalt|lithium|uranium|molybdenum|tungsten|tin|iron|platinum|palladium|rare\s*earth|diamond|graphite|phosphate|potash|salt|manganese|vanadium|chromium|antimony|bismuth)\b"
@@ -344,7 +350,7 @@ _METALS = r"(?i)\b(gold|silver|copper|zinc|lead|nickel|cobalt|lithium|uranium|mo
 
 @query(f"SELECT id, array_to_string(list_sort(list_distinct(list_transform(regexp_extract_all(t, '{_METALS}', 0), lambda c: lower(c)))), '|') AS commodities FROM {_PAGE}")
 def q_extract_commodities(spark: SparkSession, d: str) -> DataFrame:
-    return _pages(spark, d).select("id", F.array_join(extract.commodities(F.col("t")), "|").alias("commodities"))
+    return _texts(spark, d).select("id", F.array_join(extract.commodities(F.col("t")), "|").alias("commodities"))
 
 
 _KINDS = extract.REPORT_TYPE.replace("(?Ui)", "(?i)")
@@ -353,7 +359,7 @@ _DECIDE = "CASE WHEN contains(m, 'drill') OR contains(m, 'assay') THEN 'drill' W
 
 @query(f"SELECT id, 'assessment_report_' || coalesce(list_filter(list_transform(regexp_extract_all(t, '{_KINDS}', 0), lambda x: list_transform([lower(x)], lambda m: {_DECIDE})[1]), lambda x: x IS NOT NULL)[1], 'general') AS report_type FROM {_PAGE}")
 def q_extract_report_type(spark: SparkSession, d: str) -> DataFrame:
-    return _pages(spark, d).select("id", extract.report_type(F.col("t")).alias("report_type"))
+    return _texts(spark, d).select("id", extract.report_type(F.col("t")).alias("report_type"))
 
 
 @query(rf"SELECT id, regexp_extract(t, '\b(\d{{2}}[A-Z](?:\/\d{{1,2}})?(?:\s*[A-Za-z]?\d{{0,2}})?)\b', 1) AS nts_sheet, coalesce(({_COMPANY})[1], '') AS company FROM {_PAGE}")

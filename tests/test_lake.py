@@ -179,3 +179,27 @@ def test_core_does_not_need_llm():
 
     code = "import sys; sys.modules['strata.llm'] = None\nimport strata.plans.core_queries, strata.plans.data_queries, strata.plans.pipeline, strata.streaming.refresh; assert not [m for m in sys.modules if m.startswith('strata.llm.')]"
     assert subprocess.run([sys.executable, "-c", code], cwd=__file__.rsplit("/tests", 1)[0]).returncode == 0
+
+
+def test_extractors_read_the_whole_unaltered_text(spark, tmp_path):
+    import re
+
+    from strata.plans import core_queries
+
+    nts = re.compile(r"\b(\d{2}[A-Z](?:\/\d{1,2})?(?:\s*[A-Za-z]?\d{0,2})?)\b")
+    owner = re.compile(r"(?:COMPANY|CLIENT|PROPERTY\s+OF|SUBMITTED\s+BY|OWNER|OPERATOR)\s*[:;]?\s*(.+?)(?:\n|$)", re.I | re.M)
+    metal = re.compile(r"\b(gold|zinc|tin|rare\s*earth)\b", re.I)
+    fill = "é word " * 600
+    ends = ["sheet 31B/5\nOWNER: Société Minière Ltée.\nzinc, rare earth; a magnetometer survey", "étin 42A/1é 42A gold\nOPERATOR: Éric.\nassay", "nothing"]
+    rows = [(f"{k}{j}", None, start + " " + end) for k, end in enumerate(ends) for j, start in enumerate(["", fill])] + [("n", None, None)]
+    spark.createDataFrame(rows, "id string, company string, chunk_text string").write.parquet(str(tmp_path / "rag_chunk.parquet"))
+
+    def of(query):
+        return {r[0]: r[1] for r in core_queries.QUERIES[f"q_extract_{query}"](spark, str(tmp_path)).collect()}
+
+    texts = {i: t or "" for i, _, t in rows}
+    assert of("nts") == {i: (nts.findall(t) or [""])[0] for i, t in texts.items()}
+    assert of("company") == {i: next((c for c in (m.strip().rstrip(".") for m in owner.findall(t)) if c and len(c) < 100), "") for i, t in texts.items()}
+    assert of("commodities") == {i: "|".join(sorted({m.lower() for m in metal.findall(t)})) for i, t in texts.items()}
+    kinds = {"0": "assessment_report_geophys", "1": "assessment_report_drill"}
+    assert of("report_type") == {i: kinds.get(i[0], GENERAL) for i in texts}
