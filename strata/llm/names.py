@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from itertools import combinations
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -45,8 +46,10 @@ LIKE = 0.8
 EDITS = 3
 #: Suffixes shorter than this are looked at only together with the other fields.
 SUFFIX = 4
-#: Words a suffix may have before it is refined with the other fields, and before a refined one is discarded.
+#: Words a suffix may have before it is refined with the other fields, and before a refined one is compared by what is left of its words without some letters.
 COMMON = 60
+#: Letters between the first and the last up to which a word is compared so; longer ones by their parts.
+LONG = 20
 
 
 def lcs_ratio(a: str, b: str) -> float:
@@ -144,13 +147,57 @@ def _parsed(values: DataFrame) -> DataFrame:
     return values.select("company", parsed("company").alias("p")).select("company", "p.*")
 
 
+def _remains(m: str, shorter: bool) -> set[str]:
+    """Keys of which the shorter and the longer of two words share one if they differ by EDITS letters left out or put in.
+
+    Then the shorter lacks one letter at most of what both have in common, the longer three at most. Of words with more than
+    LONG letters the shorter one's parts, one more than EDITS, are looked for in the longer one, EDITS aside at most.
+    """
+    n, parts, out = len(m), EDITS + 1, set()
+
+    def ends(size: int) -> list[tuple[int, int]]:
+        return [(size * k // parts, size * (k + 1) // parts) for k in range(parts)]
+
+    if shorter:
+        if n <= LONG:
+            return {f"0{m}", *(f"1{m[:k]}{m[k + 1 :]}" for k in range(n))}
+        return {f"{n}|{k}|{m[i:j]}" for k, (i, j) in enumerate(ends(n))}
+    if n <= LONG + EDITS:
+        for gone in range(1, min(EDITS, n) + 1):
+            rests = {"".join(x) for x in combinations(m, n - gone)}
+            out |= {f"0{x}" for x in rests} | ({f"1{x}" for x in rests} if gone + 1 <= EDITS else set())
+    for size in range(max(n - EDITS, LONG + 1), n + 1):
+        out |= {f"{size}|{k}|{m[i + d : j + d]}" for k, (i, j) in enumerate(ends(size)) for d in range(-EDITS, EDITS + 1) if i + d >= 0}
+    return out
+
+
+def _near(blocks: DataFrame) -> DataFrame:
+    """(a, b): the pairs of words with a common key that may differ by EDITS; in a block all words begin and end with the same letters.
+
+    Words are compared by keys of which each has few words however many there are, so no block is squared.
+    """
+
+    def remains(shorter: bool):  # noqa: ANN202
+        @F.pandas_udf("array<string>")
+        def keys(words: pd.Series) -> pd.Series:
+            return pd.Series([[w[0] + w[-1] + k for k in sorted(_remains(w[1:-1], shorter))] for w in words], dtype=object)
+
+        return keys("w")
+
+    words = blocks.select("w").distinct()
+    less, more = words.select(F.col("w").alias("o"), F.explode(remains(True)).alias("r")), words.select("w", F.explode(remains(False)).alias("r"))
+    pairs = less.join(more, "r").where("o <> w").select(F.least("o", "w").alias("a"), F.greatest("o", "w").alias("b")).where(F.levenshtein("a", "b") <= EDITS).distinct()
+    shared = pairs.join(blocks.select(F.col("w").alias("a"), "key"), "a").join(blocks.select(F.col("w").alias("b"), "key"), ["b", "key"])
+    return shared.select("a", "b").distinct()
+
+
 def root_links(parsed: DataFrame) -> DataFrame:
     """(a, b): pairs of words of the name proper that are taken for spellings of one word.
 
     Suffix blocking: every word is filed under its suffixes of at least SUFFIX characters. A suffix with more than COMMON
     words is refined with the other fields of the name (its place and trade words, or that it is a person's) and the first
-    letter; shorter suffixes, for typing errors near the end, are always refined so. What is still more common is discarded:
-    its words have longer suffixes. Pairs are kept by the ratio of their longest common subsequence, and if
+    letter; shorter suffixes, for typing errors near the end, are always refined so. Of what is still more common, those pairs
+    meet that may differ by EDITS at most. Pairs are kept by the ratio of their longest common subsequence, and if
     they begin with one letter; numbers never are.
     """
     field = F.when(F.col("kind") == "person", F.array(F.lit("person"))).otherwise(F.array(F.concat_ws("|", "place", "trade"), F.concat("place", F.lit("|*"))))
@@ -164,10 +211,10 @@ def root_links(parsed: DataFrame) -> DataFrame:
     common = counted.where(F.col("n") > COMMON).select("s").distinct()
     refined = filed.join(common, "s", "left_semi").select("w", "f", "s").unionAll(filed.where(F.length("s") < SUFFIX))
     refined = refined.select(F.concat_ws("~", "s", "f", F.left("w", F.lit(1))).alias("key"), "w").distinct()
-    small = refined.groupBy("key").agg(F.count("*").alias("n")).where((F.col("n") > 1) & (F.col("n") <= COMMON)).select("key")
-    blocks = rare.unionAll(refined.join(small, "key", "left_semi").select("key", "w"))
+    refined = cut(refined.join(refined.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "key"))
+    blocks = rare.unionAll(refined.where(F.col("n") <= COMMON).select("key", "w"))
     left, right = blocks.select("key", F.col("w").alias("a")), blocks.select("key", F.col("w").alias("b"))
-    both = left.join(right, "key").where("a < b AND left(a, 1) = left(b, 1)")
+    both = left.join(right, "key").where("a < b AND left(a, 1) = left(b, 1)").select("a", "b").unionAll(_near(refined.where((F.col("n") > COMMON) & (F.locate("~", F.col("key")) == 2)).select("key", "w")))
     total = F.length("a") + F.length("b")
     both = both.where((F.abs(F.length("a") - F.length("b")) <= EDITS) & (F.levenshtein("a", "b") <= EDITS)).select("a", "b").distinct()
 

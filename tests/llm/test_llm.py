@@ -145,6 +145,24 @@ def test_names(spark):
     assert names.linked_pairs(spark.createDataFrame([], "company string")).count() == 0
 
 
+def test_words_of_a_common_block_all_meet(spark):
+    rnd = random.Random(5)
+    for _ in range(3):
+        words = {"grethuroe", "grethuvre"} | {"g" + "".join(rnd.choice("abcdefhijkl") for _ in range(rnd.randrange(4, 40))) + "e" for _ in range(150)}
+        for w in sorted(words)[:60]:
+            m = list(w[1:-1])
+            for _ in range(rnd.randrange(1, 4)):
+                k = rnd.randrange(len(m))
+                m[k : k + 1] = rnd.choice([[], [m[k], "z"], ["z"]])
+            words.add("g" + "".join(m) + "e")
+        words = sorted(w for w in words if len(w) >= 4)
+        parsed = spark.createDataFrame([(w, "person", [w], "", "", []) for w in words], "company string, kind string, roots array<string>, place string, trade string, given array<string>")
+        got = {tuple(r) for r in names.root_links(parsed).collect()}
+        ratios = {(a, b): names.lcs_ratio(a, b) for a in words for b in words if a < b and abs(len(a) - len(b)) <= names.EDITS}
+        assert got == {p for p, r in ratios.items() if r >= max(names.LIKE, 1 - names.EDITS / sum(map(len, p)) - 1e-9)}
+        assert ("grethuroe", "grethuvre") in got and len(got) > 40
+
+
 def test_components(spark):
     pairs = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "d"), ("d", "e"), ("x", "y")], "a string, b string")
     assert {r.w: r.label for r in names.components(pairs).collect()} == {**dict.fromkeys("abcde", "a"), "x": "x", "y": "x"}
