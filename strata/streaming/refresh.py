@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.window import Window
 
-from strata.operators import ledger as L
-
 LEDGER = (
     "resource_id string, jurisdiction string, code string, connector string, dataset string, url string, format string, ckan_modified string, "
     "sha256 string, size_bytes bigint, local_path string, snapshot_date string, fetched_at string"
@@ -16,10 +14,18 @@ LEDGER = (
 
 
 def append_changed(batch: DataFrame, ledger_path: str) -> None:
-    """Appends the rows of a batch whose content differs from the resource's latest; of one resource the newest in the batch."""
+    """Appends the rows of a batch whose content differs from the resource's fetched before, in the batch or in the ledger.
+
+    A row that comes late is compared with the ledger's rows of that time. Content once left out as unchanged isn't known any
+    more if a late row shows a change before it. A hash that is null tells no change, but may be a resource's first.
+    """
     spark = batch.sparkSession
-    newest = batch.withColumn("__k", F.row_number().over(Window.partitionBy("resource_id").orderBy(F.desc_nulls_last("fetched_at"), F.desc("sha256")))).where("__k = 1").drop("__k")
-    L.changed_content(newest, spark.read.schema(LEDGER).parquet(ledger_path)).select(*[c.split()[0] for c in LEDGER.split(", ")]).write.mode("append").parquet(ledger_path)
+    known = spark.read.schema(LEDGER).parquet(ledger_path).join(batch.select("resource_id").distinct(), "resource_id", "left_semi")
+    rows = batch.withColumn("__new", F.lit(1)).unionByName(known.withColumn("__new", F.lit(0)))
+    order = Window.partitionBy("resource_id").orderBy(F.coalesce("fetched_at", F.lit("")), "sha256", "__new")
+    rows = rows.withColumns({"__had": F.last("sha256", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1)), "__k": F.row_number().over(order)})
+    changed = rows.where("__new = 1 AND (__k = 1 OR __had <> sha256 OR (__had IS NULL AND sha256 IS NOT NULL))")
+    changed.select(*[c.split()[0] for c in LEDGER.split(", ")]).write.mode("append").parquet(ledger_path)
 
 
 def refresh(spark: SparkSession, incoming: str, ledger_path: str, checkpoint: str) -> StreamingQuery:

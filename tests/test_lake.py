@@ -173,6 +173,19 @@ def test_refresh_appends_only_changed_content(spark, tmp_path):
     assert [(r.sha256, r.fetched_at) for r in got] == [("A", "t0"), ("B", "t2"), ("A", "t3")]
 
 
+def test_refresh_keeps_every_version_in_a_file(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    loads = ["B3 A0 A4 C5 B2 B6", "C6 D9 C7", "D8 A1 D9", "D9 E9"]
+    for k, load in enumerate(loads):
+        rows = [{"resource_id": r, "sha256": x[0], "fetched_at": f"t{x[1]}", "local_path": x} for x in load.split() for r in "rs"]
+        (tmp_path / "in" / f"{k}.json").write_text("\n".join(map(json.dumps, [*rows, {"resource_id": "n", "fetched_at": f"t{k}"}])))
+        refresh.refresh(spark, str(tmp_path / "in"), str(tmp_path / "ledger"), str(tmp_path / "cp")).awaitTermination()
+    got = spark.read.parquet(str(tmp_path / "ledger"))
+    for r in "rs":
+        assert sorted(x.local_path for x in got.where(f"resource_id = '{r}'").collect()) == sorted(["A0", "B2", "A4", "C5", "B6", "C6", "D8", "D9", "E9"])
+    assert got.where("resource_id = 'n'").count() == 1
+
+
 def test_core_does_not_need_llm():
     import subprocess
     import sys
