@@ -66,29 +66,94 @@ def _local(tag: str) -> str:
     return tag.rsplit("}", 1)[-1]
 
 
+def _line(pairs: list[list[float]]) -> Iterator[dict]:
+    if pairs:
+        yield {"type": "Point", "coordinates": pairs[0]} if len(pairs) == 1 else {"type": "LineString", "coordinates": pairs}
+
+
+def _pairs(e: ET.Element) -> list[list[float]]:
+    text = " ".join(c.text or "" for c in e.iter() if _local(c.tag) == "coordinates")
+    return [[float(x) for x in p.split(",")[:2]] for p in text.split()]
+
+
+def _shapes(e: ET.Element) -> Iterator[dict]:
+    """The single geometries in an element of a .kml or .gpx file, in order."""
+    tag = _local(e.tag)
+    if tag == "Polygon":
+        rings = sorted(((_local(c.tag) == "innerBoundaryIs", _pairs(r)) for c in e for r in c if _local(r.tag) == "LinearRing"), key=lambda x: x[0])
+        if any(pairs for _, pairs in rings):
+            yield {"type": "Polygon", "coordinates": [pairs for _, pairs in rings if pairs]}
+    elif tag in ("Point", "LineString", "LinearRing"):
+        yield from _line(_pairs(e))
+    elif tag == "Track":
+        yield from _line([[float(x) for x in c.text.split()[:2]] for c in e if _local(c.tag) == "coord" and c.text and c.text.strip()])
+    elif tag in ("wpt", "rte", "trkseg"):
+        yield from _line([[float(p.get("lon")), float(p.get("lat"))] for p in ([e] if tag == "wpt" else e) if _local(p.tag) in ("wpt", "rtept", "trkpt")])
+    else:
+        for c in e:
+            yield from _shapes(c)
+
+
+def _joined(shapes: list[dict]) -> dict | None:
+    """One geometry of single ones: a Multi- one if they are of one type, else a collection."""
+    kinds = {s["type"] for s in shapes}
+    if len(shapes) < 2:
+        return shapes[0] if shapes else None
+    return {"type": f"Multi{kinds.pop()}", "coordinates": [s["coordinates"] for s in shapes]} if len(kinds) == 1 else {"type": "GeometryCollection", "geometries": shapes}
+
+
 def _kml(data: bytes) -> Iterator[tuple[str, dict, dict | None]]:
-    for mark in (e for e in ET.fromstring(data).iter() if _local(e.tag) in ("Placemark", "wpt")):
-        props = {_local(c.tag): (c.text or "").strip() for c in mark if not len(c)}
+    for mark in (e for e in ET.fromstring(data).iter() if _local(e.tag) in ("Placemark", "wpt", "rte", "trk")):
+        props = {_local(c.tag): (c.text or "").strip() for c in mark if not len(c) and _local(c.tag) not in ("rtept", "trkseg")}
         props |= {d.get("name", ""): "".join(d.itertext()).strip() for d in mark.iter() if _local(d.tag) in ("Data", "SimpleData")}
-        point = None
-        if _local(mark.tag) == "wpt":
-            point = {"type": "Point", "coordinates": [float(mark.get("lon")), float(mark.get("lat"))]}
-        for c in mark.iter():
-            if _local(c.tag) == "coordinates" and c.text and c.text.strip():
-                pairs = [[float(x) for x in p.split(",")[:2]] for p in c.text.split()]
-                point = {"type": "Point", "coordinates": pairs[0]} if len(pairs) == 1 else {"type": "LineString", "coordinates": pairs}
-                break
-        yield "", props, point
+        yield "", props, _joined(list(_shapes(mark)))
+
+
+_KINDS = {1: "Point", 2: "LineString", 3: "Polygon", 4: "MultiPoint", 5: "MultiLineString", 6: "MultiPolygon", 7: "GeometryCollection", 15: "MultiPolygon", 16: "MultiPolygon", 17: "Polygon"}
 
 
 def _wkb(blob: bytes) -> dict | None:
-    order = "<" if blob[:1] == b"\x01" else ">"
-    kind = struct.unpack(order + "I", blob[1:5])[0] % 1000
-    return {"type": "Point", "coordinates": list(struct.unpack(order + "dd", blob[5:21]))} if kind == 1 else None
+    """A geometry of well-known binary without heights and measures; null if it has arcs, which GeoJSON doesn't know."""
+    at = 0
+
+    def number(order: str) -> int:
+        nonlocal at
+        at += 4
+        return struct.unpack_from(order + "I", blob, at - 4)[0]
+
+    def points(order: str, n: int, width: int) -> list[list[float]]:
+        nonlocal at
+        flat = struct.unpack_from(f"{order}{n * width}d", blob, at)
+        at += 8 * n * width
+        return [list(flat[k : k + 2]) for k in range(0, n * width, width)]
+
+    def shape() -> dict:
+        nonlocal at
+        order = "<" if blob[at : at + 1] == b"\x01" else ">"
+        at += 1
+        code = number(order)
+        if code & 0x20000000:  # the extended form: flags for height, measure and reference system
+            number(order)
+        more, kind = divmod(code & 0x0FFFFFFF, 1000)
+        name, width = _KINDS[kind], 2 + bool(more in (1, 3) or code & 0x80000000) + bool(more in (2, 3) or code & 0x40000000)
+        if name == "Point":
+            pair = points(order, 1, width)[0]
+            return {"type": name, "coordinates": [] if pair[0] != pair[0] else pair}
+        if name == "LineString":
+            return {"type": name, "coordinates": points(order, number(order), width)}
+        if name == "Polygon":
+            return {"type": name, "coordinates": [points(order, number(order), width) for _ in range(number(order))]}
+        parts = [shape() for _ in range(number(order))]
+        return {"type": name, "geometries": parts} if name == "GeometryCollection" else {"type": name, "coordinates": [p["coordinates"] for p in parts]}
+
+    try:
+        return shape()
+    except KeyError:
+        return None
 
 
 def _gpkg(data: bytes) -> Iterator[tuple[str, dict, dict | None]]:
-    """Every feature layer of a GeoPackage; points are given as such, other geometries as null."""
+    """Every feature layer of a GeoPackage."""
     with tempfile.NamedTemporaryFile(suffix=".gpkg") as f:
         f.write(data)
         f.flush()

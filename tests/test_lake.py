@@ -164,6 +164,64 @@ def test_files(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "out")).count() == 2
 
 
+def wkb(shape, order="<", height=False, extended=False):
+    import struct
+
+    kinds = ["Point", "LineString", "Polygon", "MultiPoint", "MultiLineString", "MultiPolygon", "GeometryCollection"]
+    code = kinds.index(shape["type"]) + 1 + (0x80000000 if extended else 1000) * height
+
+    def points(pairs):
+        return b"".join(struct.pack(order + "dd", *p) + struct.pack(order + "d", 7.0) * height for p in pairs)
+
+    def line(pairs):
+        return struct.pack(order + "I", len(pairs)) + points(pairs)
+
+    kind, inner = shape["type"], shape.get("coordinates", shape.get("geometries"))
+    parts = inner if kind == "GeometryCollection" else [{"type": kind[5:], "coordinates": c} for c in inner]
+    body = points([inner]) if kind == "Point" else line(inner) if kind == "LineString" else struct.pack(order + "I", len(inner)) + b"".join(map(line, inner) if kind == "Polygon" else (wkb(p, order, height, extended) for p in parts))
+    return (b"\x01" if order == "<" else b"\x00") + struct.pack(order + "I", code) + body
+
+
+def test_geometries_are_whole(spark, tmp_path):
+    import sqlite3
+
+    square, hole, line = [[0.0, 0.0], [9.0, 0.0], [9.0, 9.0], [0.0, 0.0]], [[2.0, 1.0], [3.0, 1.0], [3.0, 2.0], [2.0, 1.0]], [[1.0, 2.0], [3.0, 4.5]]
+    shapes = [{"type": t, "coordinates": c} for t, c in [("Point", [1.5, 2.0]), ("LineString", line), ("Polygon", [square, hole]), ("MultiPoint", line), ("MultiLineString", [line, square]), ("MultiPolygon", [[square, hole], [hole]])]]
+    shapes.append({"type": "GeometryCollection", "geometries": [shapes[0], shapes[5]]})
+    for form in ({}, {"order": ">"}, {"height": True}, {"height": True, "extended": True}):
+        assert [files._wkb(wkb(s, **form)) for s in shapes] == shapes
+    assert files._wkb(wkb({"type": "Point", "coordinates": [float("nan")] * 2}))["coordinates"] == [] and files._wkb(b"\x01\x08\0\0\0\0\0\0\0") is None
+    db = sqlite3.connect(tmp_path / "a.gpkg")
+    db.execute("CREATE TABLE gpkg_geometry_columns (table_name, column_name)")
+    db.execute("INSERT INTO gpkg_geometry_columns VALUES ('claims', 'geom')")
+    db.execute("CREATE TABLE claims (id, geom)")
+    db.executemany("INSERT INTO claims VALUES (?, ?)", [(str(k), b"GP\0\x01" + bytes(4) + wkb(s)) for k, s in enumerate(shapes)])
+    db.commit()
+    db.close()
+
+    def ring(pairs, z=",5"):
+        return "<LinearRing><coordinates>" + " ".join(f"{x},{y}{z}" for x, y in pairs) + "</coordinates></LinearRing>"
+
+    poly = f"<Polygon><innerBoundaryIs>{ring(hole)}</innerBoundaryIs><outerBoundaryIs>{ring(square)}</outerBoundaryIs></Polygon>"
+    point, track = "<Point><coordinates>1.5,2,0</coordinates></Point>", "<gx:Track><gx:coord>1 2 0</gx:coord><gx:coord>3 4.5 0</gx:coord></gx:Track>"
+    multi = [f"<MultiGeometry>{x}</MultiGeometry>" for x in (poly + f"<Polygon><outerBoundaryIs>{ring(hole)}</outerBoundaryIs></Polygon>", f"{point}<MultiGeometry>{poly}</MultiGeometry>", "<Point><coordinates/></Point>")]
+    marks = "".join(f"<Placemark><name>{k}</name>{x}</Placemark>" for k, x in enumerate([poly, *multi, track]))
+    (tmp_path / "b.kml").write_text(f'<kml xmlns="http://www.opengis.net/kml/2.2" xmlns:gx="g"><Document>{marks}</Document></kml>')
+
+    def way(tag, pairs):
+        return "".join(f'<{tag} lon="{x}" lat="{y}"/>' for x, y in pairs)
+
+    gpx = way("wpt", [[1.5, 2.0]]) + f"<rte><name>r</name>{way('rtept', line)}</rte><trk><name>t</name><trkseg>{way('trkpt', line)}</trkseg><trkseg>{way('trkpt', square)}</trkseg></trk>"
+    (tmp_path / "c.gpx").write_text(f'<gpx xmlns="http://www.topografix.com/GPX/1/1">{gpx}</gpx>')
+    got = {}
+    for r in files.features(files.contents(spark, str(tmp_path))).collect():
+        got.setdefault(r.path.rsplit("/", 1)[-1], []).append((r.properties, r.geometry and json.loads(r.geometry), r.lon))
+    assert got["a.gpkg"] == [({"id": str(k)}, s, 1.5 if k == 0 else None) for k, s in enumerate(shapes)]
+    mixed = {"type": "GeometryCollection", "geometries": [shapes[0], shapes[2]]}
+    assert got["b.kml"] == [({"name": str(k)}, s, None) for k, s in enumerate([shapes[2], shapes[5], mixed, None, shapes[1]])]
+    assert got["c.gpx"] == [({}, shapes[0], 1.5), ({"name": "r"}, shapes[1], None), ({"name": "t"}, shapes[4], None)]
+
+
 def test_refresh_appends_only_changed_content(spark, tmp_path):
     (tmp_path / "in").mkdir()
     for k, sha in enumerate("AABA"):
