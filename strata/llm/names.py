@@ -225,21 +225,22 @@ def root_links(parsed: DataFrame) -> DataFrame:
     return both.where(ratio("a", "b") >= F.greatest(F.lit(LIKE), 1 - EDITS / total - 1e-9))
 
 
-def components(pairs: DataFrame, rounds: int = 20) -> DataFrame:
+def components(pairs: DataFrame) -> DataFrame:
     """(w, label): the least word that each word of the pairs is linked to, through any number of pairs.
 
-    Labels pass along the pairs and to the label's own label in each round; rounds are written to the checkpoint folder.
+    Labels pass along the pairs and to the label's own label in each round, and what a word hears of goes to its label's word
+    too, until nothing changes; rounds are written to the checkpoint folder.
     """
     edges = cut(pairs.select(F.col("a").alias("w"), F.col("b").alias("o")).unionAll(pairs.select(F.col("b").alias("w"), F.col("a").alias("o"))))
     labels = cut(edges.groupBy("w").agg(F.least(F.col("w"), F.min("o")).alias("label")))
-    for _ in range(rounds):
+    while True:
         near = edges.join(labels.select(F.col("w").alias("o"), "label"), "o").groupBy("w").agg(F.min("label").alias("near"))
+        told = labels.join(near, "w").select(F.col("label").alias("w"), "near").unionAll(near.select("w", "near")).groupBy("w").agg(F.min("near").alias("near"))
         jump = labels.select(F.col("w").alias("label"), F.col("label").alias("far"))
-        new = cut(labels.join(near, "w").join(jump, "label", "left").select("w", F.col("label").alias("old"), F.least("label", "near", F.coalesce("far", "label")).alias("label")))
+        new = cut(labels.join(told, "w").join(jump, "label", "left").select("w", F.col("label").alias("old"), F.least("label", "near", F.coalesce("far", "label")).alias("label")))
         if new.where("label <> old").isEmpty():
-            break
+            return labels
         labels = new.select("w", "label")
-    return labels
 
 
 def _people(group: pd.DataFrame) -> list[str]:

@@ -168,6 +168,12 @@ def test_components(spark):
     assert {r.w: r.label for r in names.components(pairs).collect()} == {**dict.fromkeys("abcde", "a"), "x": "x", "y": "x"}
 
 
+def test_components_of_a_long_chain(spark):
+    chain = ["a", *(f"z{k:03d}" for k in range(70, 0, -1))]
+    pairs = spark.createDataFrame(list(zip(chain, chain[1:])), "a string, b string")
+    assert {r.label for r in names.components(pairs).collect()} == {"a"}
+
+
 # Noise
 
 
