@@ -79,7 +79,10 @@ def statistics(documents: DataFrame, common: DataFrame) -> DataFrame:
     wrong decoding among the words. language is that of whose common words the text has most (equal: the first by name),
     whatever `lang` says; und if it has none. A null or empty text has 0 everywhere. `common` holds a fixed number of words.
     """
-    lists = {r["lang"]: sorted({w.lower() for w in r["words"]}) for r in common.where("lang IS NOT NULL AND word <> ''").groupBy("lang").agg(F.collect_list("word").alias("words")).orderBy("lang").limit(200).collect()}
+    rows = common.where("lang IS NOT NULL AND word <> ''").groupBy("lang").agg(F.collect_list("word").alias("words")).orderBy("lang").limit(201).collect()
+    if len(rows) > 200:
+        raise ValueError("more than 200 languages")
+    lists = {r["lang"]: sorted({w.lower() for w in r["words"]}) for r in rows}
     sets = [frozenset(words) for words in lists.values()]
 
     @F.pandas_udf(", ".join(f"{c} long" for c in _COUNTS))

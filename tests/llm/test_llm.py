@@ -233,6 +233,17 @@ def test_sketch_ranks_are_near_the_exact(spark):
     assert all(abs(q["words"][k] - 50 * k) < 150 for k in range(101))
 
 
+def test_no_language_is_dropped_silently(spark):
+    documents = spark.createDataFrame([(1, "the word")], "doc_id long, text string")
+    for n in (200, 201):
+        common = spark.createDataFrame([(f"l{k:03d}", "the" if k == n - 1 else f"w{k}") for k in range(n)], "lang string, word string")
+        if n > 200:
+            with pytest.raises(ValueError, match="200 languages"):
+                quality.statistics(documents, common)
+        else:
+            assert quality.statistics(documents, common).head().language == "l199"
+
+
 @pytest.mark.parametrize("name", ["p1_found", "p1_repaired", "p2_found", "p2_pieces", "p3_found", "p3_entities", "p6_packed", "p6_fill", "p7_mixed", "p7_shares", "p8_found", "p8_stats"])
 def test_queries_are_registered(name):
     from strata.llm import queries
