@@ -291,6 +291,8 @@ class Reader:
             where: dict[str, set[int]] = {}
             for k in body:
                 for p, token in enumerate(split[k]):
+                    if k not in bad and (k, p) not in skip and any(map(self.verdict, split[k][p : p + 3])) and self.mended(split[k], p)[0]:
+                        bad.add(k)
                     v = self.verdict(token)
                     if v and (k, p) not in skip:
                         if v == 1:
@@ -354,11 +356,36 @@ class Reader:
                 now = ""
         return out
 
+    def mended(self, tokens: list[str], k: int) -> tuple[int, str]:
+        """(parts, word): the word of the lexicon that the tokens from the k-th on are, broken by blanks; (0, '') if none.
+
+        One of the parts at least is no word; the decoder must read all of them as one rather than each for itself.
+        """
+        if not tokens[k].isalpha():
+            return 0, ""
+        for n in (3, 2):
+            parts = tokens[k : k + n]
+            if len(parts) < n or not all(t.isalpha() for t in parts[1:-1]) or not all(t[:1].islower() for t in parts[1:]) or any("\x1f" in t for t in parts) or not any(map(self.verdict, parts)):
+                continue
+            whole = "".join(parts).strip(EDGE).lower()
+            if whole not in self.words and skeleton(whole) not in self.top:
+                continue
+            read = self.decode(" ".join(parts))
+            if len(read) == 1 and read[0][2].strip(EDGE).lower() in self.words:
+                return n, read[0][2]
+        return 0, ""
+
     def reread(self, paragraph: str) -> str:
         """A paragraph with its words read by the decoder; words of the lexicon, numbers and codes stay as they are."""
         tokens, out, k = paragraph.split(" "), [], 0
+        odd = {j for j, t in enumerate(tokens) if "\x1f" not in t and self.verdict(t)}
         while k < len(tokens):
             token = tokens[k]
+            parts, word = self.mended(tokens, k) if odd and not odd.isdisjoint((k, k + 1, k + 2)) else (0, "")
+            if parts:
+                out.append(word)
+                k += parts
+                continue
             if "\x1f" not in token and self.verdict(token) == 0:
                 out.append(token)
             elif "\x1f" in token:

@@ -195,6 +195,16 @@ def test_noise(spark):
     assert noise.find_noise(chunks.limit(0)).count() == 0 and noise.repair(chunks.limit(0)).count() == 0
 
 
+def test_words_broken_by_blanks_are_mended():
+    words = {w: 1000 for w in (BODY + " con act").split()}
+    reader = noise.Reader(words, frozenset(), sum(words.values()))
+    for whole, broken in [("contact", "con tact"), ("contact", "c on tact"), ("granite", "gr an ite"), ("granite", "gran ite")]:
+        text = BODY.replace(whole, broken)
+        assert reader.repair(text) == [BODY] and reader.find(text) == [(0, "ocr")]
+    for text in (BODY.replace("granite", "granite Ewan Grethuroe"), BODY.replace("granite", "con Grethuroe act"), BODY + ". Con Tact"):
+        assert reader.repair(text) == [text]
+
+
 def test_decoder_splits_and_merges():
     words = {w: 50 for w in BODY.split()}
     reader = noise.Reader(words, frozenset(), 2000)
