@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
+from bisect import bisect_right
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from operator import add
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.util import cut
@@ -21,6 +24,10 @@ REPORTS, LEAST_REPORTS = 0.002, 3
 RARER = 100
 #: A name is taken for a misread word only if that word makes up this share of all words: names look like each other.
 COMMON = 5e-5
+#: Places of one report in which a line must stand to be its running header, where nothing else tells.
+RUNNING = 2
+#: Characters by which the width of a paragraph is told in its state, while paragraphs are chosen.
+STEP = 8
 #: Costs of the decoder, in units of -log probability: reading a letter as another, a word of no lexicon and each letter of
 #: it, a blank or line end inside a word, a hyphen at a line end inside a word, and two words without a blank.
 CONFUSED, UNKNOWN, LETTER, BLANK, HYPHEN, JOINED = 6.0, 9.0, 1.1, 4.0, 0.3, 5.0
@@ -32,8 +39,12 @@ SHAPES = str.maketrans(
 )
 #: Letters and signs that a digit may be read as.
 DIGITS = str.maketrans({"O": "0", "o": "0", "D": "0", "Q": "0", "l": "1", "I": "1", "i": "1", "|": "1", "!": "1", "Z": "2", "z": "2", "E": "3", "A": "4", "S": "5", "s": "5", "b": "6", "G": "6", "T": "7", "B": "8", "g": "9", "q": "9"})
+#: Characters of the longest run that may be a word of the lexicon, and of the longest code that is looked for with misread signs.
+LONGEST, CODE = 40, 16
 HYPHENS = "-‐­¬=‑"
 EDGE = ".,;:()?\"'[]«»“”"
+#: What may follow a word; an opening bracket at its end is a misread c.
+CLOSE = ".,;:)?\"']»”"
 _number = re.compile(r"[+-]?\d[\d.,/:%-]*").fullmatch
 _code = re.compile(r"L\d+\+\d\d[NSEW]?|\d{1,3}[NSEW]|\d{2,3}[A-P](?:/\d{1,2})?(?:-\d+)?|[A-Z]{1,3}\d{4,}|[A-Z]{2}-\d{1,3}-\d{1,3}|\d+(?:st|nd|rd|th|e|er|m|km|ppm|ppb|g|cm)|[A-Z][a-z]?\d?[A-Z][a-z]?\d?|\d{1,2}-\d{1,3}|(?:19|20)\d\d[a-z]?").fullmatch
 _page = re.compile(
@@ -42,9 +53,12 @@ _page = re.compile(
 ).fullmatch
 _figure = re.compile(r"[<>~]?[\dlOISZBgzo|!]*\d[\dlOISZBgzo|!]*(?:[.,][\dlOISZBgzo|!]+)?%?|tr|nil|n/?[ad]|[<>]\d+").fullmatch
 _page_word = re.compile(r"\W*(?:page|pg|p|folio)\b", re.IGNORECASE).match
-_page_edge = re.compile(r"\s{2,}[-–\[(]?\s*(?:(?:page|pg|p)\b\.?\s*)?(?:[\dIlOSZ|]{1,4}|[ivxl]{1,7})\s*[-–\])]?$|^[-–\[(]?\s*(?:(?:page|pg|p)\b\.?\s*)?(?:[\dIlOSZ|]{1,4}|[ivxl]{1,7})\s*[-–\])]?\s{2,}", re.IGNORECASE).sub
+_PAGE_NO = r"[-–\[(]?\s*(?:(?:page|pg|p)\b\.?\s*)?(?:[\dIlOSZ|]{1,4}(?:\s?[-–]\s?[\dIlOSZ|]{1,3}|\s(?:of|de|sur)\s[\dIlOSZ|]{1,4})?|[ivxl]{1,7})\s*[-–\])]?"
+_page_edge = re.compile(rf"\s{{2,}}{_PAGE_NO}$|^{_PAGE_NO}\s{{2,}}", re.IGNORECASE).sub
 _numbered = re.compile(r"[\dlOISbBgZz!|o]{1,2}(?:[.,][\dlOISbBgZz!|o]{1,2})*\.?\s+(?=[^\W\d])").match
 _numbered_sub = re.compile(r"^[\dlOISbBgZz!|o]{1,2}(?:[.,][\dlOISbBgZz!|o]{1,2})*\.?\s+(?=[^\W\d])").sub
+#: Letters with a sign, a digit or a capital among them, as no word has.
+_mixed = re.compile(r"[a-z][A-Z][a-z]|[a-zé][0-9@$!|þ][a-zé]|[a-zé]{2}[0-9@$!|þ]$").search
 #: Words that stay small in titles and running headers.
 SMALL = frozenset("of on the by for and no no. to in a an at from de du des la le les sur et par pour report rapport file dossier project projet prepared work page p p.".split())
 
@@ -73,6 +87,17 @@ def heading_key(line: str) -> str:
     return "" if any(c.isdigit() for c in plain) else skeleton(plain)
 
 
+def running_keys(line: str) -> list[str]:
+    """What the copies of a running header have in common: the strokes of its words without page numbers, whole and less each word.
+
+    Two copies that differ in one word, as misread ones do, have one of the keys in common.
+    """
+    words = [skeleton(w) for w in (_page_edge("", line).strip() or line).lower().split()]
+    if len(words) < 3:
+        return ["".join(words)]
+    return sorted({" ".join(words), *(" ".join(words[:k] + ["*"] + words[k + 1 :]) for k in range(len(words)))})
+
+
 def _counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Words and title-like lines of a partition, counted before the shuffle."""
     words: Counter = Counter()
@@ -122,7 +147,7 @@ class Reader:
 
     def word_cost(self, u: str) -> tuple[float, str, bool]:
         """(cost, word, misread) of the cheapest reading of a run of characters as one word."""
-        x = u.strip(EDGE)
+        x = u.lstrip(EDGE).rstrip(CLOSE)
         low = x.lower()
         if low in self.words:
             return math.log(self.total / self.words[low]), u, False
@@ -131,7 +156,7 @@ class Reader:
         fixed = x.translate(DIGITS)
         if fixed != x and _number(fixed) and sum(c.isdigit() or c in ".," for c in x) * 2 >= len(x):
             return 8.0 + CONFUSED, u.replace(x, fixed), True
-        for k in range(1, len(x)) if any(c.isdigit() for c in x) else ():
+        for k in range(1, len(x)) if len(x) <= CODE and any(c.isdigit() for c in x) else ():
             for lead in (x[:k] + fixed[k:], fixed[:k] + x[k:]):
                 if lead != x and _code(lead):
                     return 9.0 + CONFUSED, u.replace(x, lead), True
@@ -141,19 +166,27 @@ class Reader:
         if n and w != low and (len(low) > 2 or not low.isalpha()) and (x[:1].islower() or not x[:1].isalpha() or len(x) > 3):
             w = w.upper() if x.isupper() and len(x) > 1 else w.capitalize() if x[0].isupper() else w
             return math.log(self.total / n) + CONFUSED, u.replace(x, w), True
-        return UNKNOWN + LETTER * len(x), u, False
+        cost = UNKNOWN + LETTER * len(x)
+        if "-" in x.strip("-"):
+            parts = [self.word_cost(p) for p in x.split("-") if p]
+            if any(m for _, _, m in parts) and sum(c for c, _, _ in parts) < cost + CONFUSED * len(parts):
+                return cost, u.replace(x, "-".join(w for _, w, _ in parts)), True
+        return cost, u, len(x) > 3 and bool(_mixed(x)) and not x.startswith(("Mc", "Mac", "De", "La"))
 
     def decode(self, stream: str) -> list[tuple[int, int, str, bool]]:
         """(from, to, word, misread) of the words of a stream of characters, whose blanks and line ends are only hints.
 
-        In the stream \\x1f stands for a hyphen at a line end. A word may run over blanks and such hyphens (a merge), two may
-        stand without a blank (a split), and letters may be misread; the reading with the least cost in all is taken.
+        In the stream \x1f stands for a hyphen at a line end. A word may run over blanks and such hyphens (a merge), words of
+        the lexicon may stand without a blank (a split), and letters may be misread; the reading with the least cost in all is
+        taken. A word of no lexicon ends at the next blank.
         """
         if stream in self.decoded:
             return self.decoded[stream]
         n, gaps = len(stream), " \n\x1f"
         best: list[float] = [0.0] + [math.inf] * n
-        back: list[tuple | None] = [None] * (n + 1)
+        back: list[tuple] = [(0, "", False)] * (n + 1)
+        low = [c.lower() for c in stream]
+        shapes = list(map(skeleton, low))
         for i in range(n):
             if best[i] == math.inf:
                 continue
@@ -162,23 +195,30 @@ class Reader:
                 if cost < best[i + 1]:
                     best[i + 1], back[i + 1] = cost, (i, "", False)
                 continue
-            plain, kept, extra = "", "", 0.0
-            for j in range(i, min(n, i + 40)):
-                c = stream[j]
-                if c in gaps:
-                    extra += HYPHEN if c == "\x1f" else BLANK
-                    kept += "-" if c == "\x1f" else ""
-                    if extra > 2 * BLANK:
+            plain, kept, small, strokes, extra, j = "", "", "", "", 0.0, i
+            while j < n and (extra == 0.0 or j - i < LONGEST):
+                if j - i >= LONGEST:  # nothing but a word of no lexicon, up to the next blank
+                    end = min((x for x in (stream.find(g, j) for g in gaps) if x >= 0), default=n)
+                    plain, kept, j = plain + stream[j:end], kept + stream[j:end], end - 1
+                elif stream[j] in gaps:
+                    extra += HYPHEN if stream[j] == "\x1f" else BLANK
+                    kept += "-" if stream[j] == "\x1f" else ""
+                    if extra > 2 * BLANK or stream[j] != "\x1f" and stream[j + 1 : j + 2].isupper() and not plain[-1].isupper():
                         break
+                    j += 1
                     continue
-                plain, kept = plain + c, kept + c
-                ends = j + 1 == n or stream[j + 1] in gaps
-                if not ends and (j + 1 - i < 3 or n - j < 4):
+                else:
+                    plain, kept, small, strokes = plain + stream[j], kept + stream[j], small + low[j], strokes + shapes[j]
+                j += 1
+                ends = j == n or stream[j] in gaps
+                if not ends and (j - i < 3 or n - j < 3 or small not in self.words and strokes not in self.top):
+                    continue
+                if extra >= BLANK and (bare := small.strip(EDGE)) not in self.words and skeleton(bare) not in self.top:
                     continue
                 cost, word, misread = min(self.word_cost(plain), self.word_cost(kept)) if kept != plain else self.word_cost(plain)
                 cost += best[i] + extra + (0.0 if ends else JOINED)
-                if cost < best[j + 1]:
-                    best[j + 1], back[j + 1] = cost, (i, word, misread)
+                if cost < best[j]:
+                    best[j], back[j] = cost, (i, word, misread)
         out, at = [], n
         while at > 0:
             i, word, misread = back[at]
@@ -188,34 +228,77 @@ class Reader:
         out.reverse()
         if len(self.decoded) > 300_000:
             self.decoded.clear()
-        self.decoded[stream] = out
+        if n < 100:
+            self.decoded[stream] = out
         return out
 
-    def verdict(self, token: str) -> int:
-        """0: a word, number or code; 1: misread; 2: in no lexicon, such as a name."""
+    def plain(self, token: str) -> bool:
+        """Whether a token is a word of the lexicon, a number or a code as it stands, or has no letters: nothing to decode."""
         v = self.seen.get(token)
         if v is None:
-            x = token.strip(EDGE)
-            if not x or x.lower() in self.words or _number(x) or _code(x):
-                v = 0
-            elif len(x) > 30:
-                v = 0
-            elif "(" in token[1:]:
-                v = 1 if self.verdict(token[0] + token[1:].replace("(", "c")) == 0 else 2
-            else:
-                read = self.decode(token)
-                v = 1 if any(m for _, _, _, m in read) else 2
-                if v == 2 and "-" in x.strip("-"):
-                    v = max(1 if self.verdict(p) == 1 else 0 for p in x.split("-") if p) or 2
-                if v == 2 and len(x) > 3 and (re.search(r"[a-z][A-Z][a-z]|[a-zé][0-9@$!|þ][a-zé]|[a-zé]{2}[0-9@$!|þ]$", x) and not x.startswith(("Mc", "Mac", "De", "La"))):
-                    v = 1
+            x = token.lstrip(EDGE).rstrip(CLOSE)
+            v = "\x1f" not in token and (not x or x.lower() in self.words or bool(_number(x)) or bool(_code(x)) or not any(c.isalpha() or c in "!|$@" for c in x))
             if len(self.seen) > 600_000:
                 self.seen.clear()
             self.seen[token] = v
         return v
 
+    def meet(self, a: str, b: str) -> bool:
+        """Whether a word of the lexicon may run over the blank between two tokens, one of which at least isn't plain."""
+        x, y = a.lower(), b.lower()
+        if not x[-1].isalpha() or not y[0].isalpha() or b[0].isupper() and not a[-1].isupper():
+            return False
+        whole = (x + y).strip(EDGE)
+        if whole in self.words or skeleton(whole) in self.top:
+            return True
+        y, x = y.rstrip(EDGE), x.lstrip(EDGE)
+        return any(x[i:] + y in self.words for i in range(3, len(x))) or any(x + y[:j] in self.words for j in range(1, len(y) - 3))
+
+    def windows(self, tokens: Sequence[str]) -> list[tuple[int, int]]:
+        """(from, to) of the runs of a stream's tokens that must be decoded.
+
+        Where no word can run over the blank between two tokens, the best reading of the stream has an end of a word, so it is
+        that of the parts on both sides, and a plain token between two such blanks is its own reading. What is left are the
+        tokens that aren't plain, with those neighbours that a word might run into; two tokens that aren't plain always belong
+        together, as do the three parts of a word. The readings of these windows make up that of the whole stream.
+        """
+        odd = [not self.plain(t) for t in tokens]
+        joined = [False] * len(tokens)  # whether a word may run from token k into k + 1
+        for k in range(len(tokens) - 1):
+            if odd[k] or odd[k + 1]:
+                joined[k] = joined[k] or odd[k] and odd[k + 1] or self.meet(tokens[k], tokens[k + 1])
+            elif (tokens[k] + tokens[k + 1]).lower() in self.words:
+                joined[k] = True
+            if odd[k] and k + 2 < len(tokens) and odd[k + 2] and not odd[k + 1]:
+                whole = "".join(tokens[k : k + 3]).strip(EDGE).lower()
+                if whole in self.words or skeleton(whole) in self.top:
+                    joined[k] = joined[k + 1] = True
+        out, k = [], 0
+        while k < len(tokens):
+            end = k + 1
+            while joined[end - 1]:
+                end += 1
+            if odd[k] or end > k + 1:
+                out.append((k, end))
+            k = end
+        return out
+
+    def read(self, tokens: Sequence[str]) -> Iterator[tuple[int, int, str, bool]]:
+        """(from, to, word, misread) for each word that the decoder reads in the windows of a stream: the tokens it has a part of."""
+        for a, b in self.windows(tokens):
+            part = tokens[a:b]
+            starts = [0]
+            for t in part[:-1]:
+                starts.append(starts[-1] + len(t) + 1)
+            for i, j, word, misread in self.decode(" ".join(part)):
+                yield a + bisect_right(starts, i) - 1, a + bisect_right(starts, j - 1), word, misread
+
     def kinds(self, lines: list[str]) -> list[str]:
-        """What each line is: blank, page_no, header, title (a heading or a table's line), or text."""
+        """What each line is: blank, page_no, header, header?, title (a heading or a table's line), or text.
+
+        A line with the look of a header is one if it has a page number on it or near it, or interrupts a sentence. If nothing
+        tells it is `header?`: a header if it runs through its report, else a title.
+        """
         out = []
         for line in lines:
             s = line.strip()
@@ -246,158 +329,142 @@ class Reader:
         for k, kind in enumerate(out):
             if kind not in ("header", "title") or "\t" in lines[k] or k in figures:
                 continue
+            s = lines[k].strip()
             before = next((lines[j].strip() for j in range(k - 1, -1, -1) if out[j] == "text"), "")
             after = next((lines[j].strip() for j in range(k + 1, len(lines)) if out[j] == "text"), "")
             broken = bool(before) and before[-1] not in ".:;!?)\"" and bool(after) and (after[0].islower() or after[0].isdigit())
-            single = len(lines) == 1 or not re.search(r"[\d/|,–-]", lines[k]) and len(lines[k].split()) < 2 and not broken
-            if kind == "header" and single:
-                out[k] = "title" if len(lines) > 1 else "text"
-            elif kind == "title" and broken and titled(lines[k].strip()) and not _numbered(lines[k].strip()):
-                out[k] = "header"
+            if kind == "title":
+                if broken and titled(s) and not _numbered(s):
+                    out[k] = "header"
+            elif len(lines) == 1:
+                out[k] = "text"
+            elif not broken and _page_edge("", s).strip() in ("", s) and not any(out[j] == "page_no" for j in range(max(k - 2, 0), min(k + 3, len(lines)))):
+                out[k] = "header?"
         return out
 
+    def paragraphs(self, lines: list[str], kinds: list[str], keep: list[int]) -> list[list[int]]:
+        """The lines of `keep` in paragraphs, by dynamic programming: the ends with the least sum of costs in all.
+
+        The state at a line is how wide the lines of its paragraph are so far, in steps of STEP characters, and whether it is
+        its first. To go on costs more where the next line's first word would have had room on this one, measured by the
+        paragraph's own width, at a sentence's end, a blank line or a title; to end costs more within a sentence, after a full
+        line, and for a paragraph of one line. So whether a line is short depends on the lines it is put together with.
+        """
+        if not keep:
+            return []
+        size = [len(lines[k].strip()) for k in keep]
+        inset = [len(lines[k]) - len(lines[k].lstrip()) for k in keep]
+        states: dict[tuple[int, bool], float] = {(size[0] // STEP, True): 0.0}
+        trace: list[dict[tuple[int, bool], tuple[tuple[int, bool], bool]]] = []
+        for at, (here, after) in enumerate(zip(keep, keep[1:])):
+            s, t = lines[here].strip(), lines[after].strip()
+            between = [kinds[j] for j in range(here + 1, after)]
+            gap = "blank" in between and not any(b in ("page_no", "header", "header?") for b in between)
+            stop, capital, title = s[-1] in ".:!?)", not t[0].islower(), "title" in (kinds[here], kinds[after])
+            hyphen, first = s[-1] in HYPHENS, len(t.split(None, 1)[0])
+            new: dict[tuple[int, bool], float] = {}
+            back: dict[tuple[int, bool], tuple[tuple[int, bool], bool]] = {}
+            for (wide, alone), cost in states.items():
+                room = size[at] + 1 + first <= max(wide * STEP, size[at + 1])
+                join = 1.0 + 2.0 * (stop and room and capital) + 5.0 * gap + 9.0 * title + 0.5 * room
+                end = 2.0 + 4.0 * (not stop) + 4.0 * (not capital) + 1.0 * (not room) + 0.5 * (alone and not title) - 6.0 * gap - 8.0 * title - 1.0 * (inset[at + 1] > inset[at] + 1)
+                end = max(end, 0.0) + (20.0 if hyphen and not capital and not title else 0.0)
+                for state, total, ended in (((max(wide, size[at + 1] // STEP), False), cost + join, False), ((size[at + 1] // STEP, True), cost + end, True)):
+                    if total < new.get(state, math.inf):
+                        new[state], back[state] = total, ((wide, alone), ended)
+            states = new
+            trace.append(back)
+        state, out = min(states, key=lambda x: (states[x], x)), [[keep[-1]]]
+        for at in range(len(trace) - 1, -1, -1):
+            state, ended = trace[at][state]
+            if ended:
+                out.append([keep[at]])
+            else:
+                out[-1].append(keep[at])
+        return [p[::-1] for p in reversed(out)]
+
+    def stream(self, lines: list[str], numbers: Sequence[int]) -> tuple[list[str], list[int]]:
+        """The tokens of de-lined lines, and the line of each; a word with a hyphen at a line's end is one token with the next."""
+        tokens: list[str] = []
+        of: list[int] = []
+        for k in numbers:
+            new = lines[k].split()
+            if tokens and new and len(tokens[-1]) > 1 and tokens[-1][-1] in HYPHENS and tokens[-1][-2].isalpha():
+                tokens[-1] = f"{tokens[-1][:-1]}\x1f{new.pop(0)}"
+            tokens += new
+            of += [k] * len(new)
+        return tokens, of
+
     def find(self, text: str) -> list[tuple[int, str]]:
-        """(line_no, kind) of each kind of noise in each line of a text."""
+        """(line_no, kind) of each kind of noise in each line of a text; `header?` are lines that are headers if they run."""
         lines = text.split("\n")
         words = text.split()
-        flat = set(map(self.verdict, words)) == {0}
+        flat = all(map(self.plain, set(words))) and self.words.keys().isdisjoint(map(str.lower, map(add, words, words[1:])))
         if len(lines) == 1 and flat:
             return []
         kinds = self.kinds(lines)
-        out = [(k, kind) for k, kind in enumerate(kinds) if kind in ("page_no", "header")]
+        out = [(k, kind) for k, kind in enumerate(kinds) if kind in ("page_no", "header", "header?")]
         body = [k for k, kind in enumerate(kinds) if kind == "text"]
-        split = [line.split() for line in lines]
-        bad: set[int] = set()
-        skip: set[tuple[int, int]] = set()
+        ends = {}
         for here, after in zip(body, body[1:]):
-            s = lines[here].rstrip()
-            if len(s) > 1 and s[-1] in HYPHENS and s[-2].isalpha() and split[after] and split[after][0][0].isalnum():
+            s, t = lines[here].rstrip(), lines[after].lstrip()
+            if len(s) > 1 and s[-1] in HYPHENS and s[-2].isalpha() and t[0].isalnum():
                 out.append((here, "hyphen"))
-                head, rest = split[here][-1][:-1], split[after][0]
-                skip |= {(here, len(split[here]) - 1), (after, 0)}
-                if flat:
-                    continue
-                read = self.decode(f"{head}\x1f{rest}")
-                for i, j, word, misread in read:
-                    if misread:
-                        got = word.replace("-", "") if i == 0 else word
-                        bad.add(here if i == 0 and not got.lower().startswith(head.lower()[: len(got)]) else after)
-        if body and text and text.rstrip()[-1:].isalnum():
-            last = body[-1]
-            if last == len(lines) - 1:
-                skip.add((last, len(split[last]) - 1))
-        if not flat:
-            names: Counter = Counter()
-            where: dict[str, set[int]] = {}
-            for k in body:
-                for p, token in enumerate(split[k]):
-                    if k not in bad and (k, p) not in skip and any(map(self.verdict, split[k][p : p + 3])) and self.mended(split[k], p)[0]:
-                        bad.add(k)
-                    v = self.verdict(token)
-                    if v and (k, p) not in skip:
-                        if v == 1:
-                            bad.add(k)
-                        elif token[0].isupper() and len(token) > 4:
-                            x = token.strip(EDGE)
-                            names[x] += 1
-                            where.setdefault(x, set()).add(k)
-            forms: dict[str, list[str]] = {}
-            for x in names:
-                forms.setdefault(skeleton(x.lower()), []).append(x)
-            for same in forms.values():
-                if len({x.lower() for x in same}) > 1:
-                    top = max(names[x] for x in same)
-                    for x in same:
-                        if names[x] < top:
-                            bad |= where[x]
-        return out + [(k, "ocr") for k in bad]
-
-    def repair(self, text: str) -> list[str]:
-        """The text's paragraphs: noise lines left out, words put together and read as the lexicon has them.
-
-        Paragraphs end where the sum of costs is least: every end and every line joined to the next has a cost from whether
-        the line is short, ends a sentence, a blank line or a title follows, and whether the next begins one.
-        """
+                ends[here] = after
+        if flat and not ends:
+            return out
+        bad: set[int] = set()
+        names: Counter = Counter()
+        where: dict[str, set[int]] = {}
+        last = len(lines) - 1 if text.rstrip()[-1:].isalnum() else -1
+        for numbers in self.paragraphs(lines, kinds, body):
+            tokens, of = self.stream(lines, numbers)
+            for a, b, word, misread in self.read(tokens):
+                if of[b - 1] == last and b == len(tokens) and b == a + 1:
+                    continue  # the chunk ends within a word, perhaps
+                parts = tokens[a].split("\x1f")
+                if misread:
+                    got = word.replace("-", "").lower()
+                    head = parts[0].lower()
+                    bad.add(ends.get(of[a], of[a]) if len(parts) > 1 and got.startswith(head[: len(got)]) else of[a])
+                elif b > a + 1:
+                    bad |= {of[a], of[b - 1]}
+                elif len(parts) == 1 and word == tokens[a] and word[0].isupper() and len(word) > 4 and not self.plain(word):
+                    x = word.strip(EDGE)
+                    names[x] += 1
+                    where.setdefault(x, set()).add(of[a])
+        return out + [(k, "ocr") for k in bad | self.strays(names, where)]
+
+    @staticmethod
+    def strays(names: Counter, where: dict[str, set[int]]) -> set[int]:
+        """The lines of those names that a more frequent name of the same text with the same strokes is the reading of."""
+        forms: dict[str, list[str]] = {}
+        for x in names:
+            forms.setdefault(skeleton(x.lower()), []).append(x)
+        bad: set[int] = set()
+        for same in forms.values():
+            if len({x.lower() for x in same}) > 1:
+                top = max(names[x] for x in same)
+                bad = bad.union(*(where[x] for x in same if names[x] < top))
+        return bad
+
+    def repair(self, text: str, running: Sequence[int] = ()) -> list[str]:
+        """The text's paragraphs, without noise lines, each read by the decoder as one stream; `running`: the lines that are headers as they run."""
         lines = text.split("\n")
-        kinds = self.kinds(lines)
+        kinds = [("header" if k in running else "title") if kind == "header?" else kind for k, kind in enumerate(self.kinds(lines))]
         keep = [k for k, kind in enumerate(kinds) if kind in ("text", "title")]
-        if not keep:
-            return []
-        width = max(len(lines[k].strip()) for k in keep)
-        end_cost, join_cost = [], []
-        for here, after in zip(keep, keep[1:]):
-            s, t = lines[here].strip(), lines[after].strip()
-            gap = any(kinds[j] == "blank" for j in range(here + 1, after)) and not any(kinds[j] in ("page_no", "header") for j in range(here + 1, after))
-            stop, short, capital = s[-1] in ".:!?)", len(s) < 0.75 * width, not t[0].islower()
-            title = "title" in (kinds[here], kinds[after])
-            end = 2.0 + 4.0 * (not stop) + 4.0 * (not capital) + 1.0 * (not short) - 6.0 * gap - 8.0 * title
-            end_cost.append(max(end, 0.0) + (20.0 if s[-1] in HYPHENS and not capital and not title else 0.0))
-            join_cost.append(max(0.0, 1.0 + 2.0 * (stop and short and capital) + 5.0 * gap + 9.0 * title))
-        ends, best = [], [(0.0, None), (math.inf, None)]
-        trace = []
-        for e, j in zip(end_cost, join_cost):
-            low = min(best[0][0], best[1][0])
-            trace.append(0 if best[0][0] <= best[1][0] else 1)
-            best = [(low + e, None), (low + j, None)]
-        state = 0 if best[0][0] <= best[1][0] else 1
-        for k in range(len(end_cost) - 1, -1, -1):
-            if state == 0:
-                ends.append(k)
-            state = trace[k]
-        cut_after, out, now = set(ends), [], ""
-        for k, line_no in enumerate(keep):
-            s = lines[line_no].strip()
-            if now and now[-1] in HYPHENS and len(now) > 1 and now[-2].isalpha():
-                now = now[:-1] + "\x1f" + s
-            else:
-                now = f"{now} {s}" if now else s
-            if k in cut_after or k == len(keep) - 1:
-                out.append(self.reread(now))
-                now = ""
+        out = []
+        for numbers in self.paragraphs(lines, kinds, keep):
+            tokens, _ = self.stream(lines, numbers)
+            read: list[str] = []
+            at = 0
+            for a, b, word, _ in self.read(tokens):
+                read += tokens[at:a]
+                read.append(word)
+                at = b
+            out.append(" ".join(read + tokens[at:]))
         return out
 
-    def mended(self, tokens: list[str], k: int) -> tuple[int, str]:
-        """(parts, word): the word of the lexicon that the tokens from the k-th on are, broken by blanks; (0, '') if none.
-
-        One of the parts at least is no word; the decoder must read all of them as one rather than each for itself.
-        """
-        if not tokens[k].isalpha():
-            return 0, ""
-        for n in (3, 2):
-            parts = tokens[k : k + n]
-            if len(parts) < n or not all(t.isalpha() for t in parts[1:-1]) or not all(t[:1].islower() for t in parts[1:]) or any("\x1f" in t for t in parts) or not any(map(self.verdict, parts)):
-                continue
-            whole = "".join(parts).strip(EDGE).lower()
-            if whole not in self.words and skeleton(whole) not in self.top:
-                continue
-            read = self.decode(" ".join(parts))
-            if len(read) == 1 and read[0][2].strip(EDGE).lower() in self.words:
-                return n, read[0][2]
-        return 0, ""
-
-    def reread(self, paragraph: str) -> str:
-        """A paragraph with its words read by the decoder; words of the lexicon, numbers and codes stay as they are."""
-        tokens, out, k = paragraph.split(" "), [], 0
-        odd = {j for j, t in enumerate(tokens) if "\x1f" not in t and self.verdict(t)}
-        while k < len(tokens):
-            token = tokens[k]
-            parts, word = self.mended(tokens, k) if odd and not odd.isdisjoint((k, k + 1, k + 2)) else (0, "")
-            if parts:
-                out.append(word)
-                k += parts
-                continue
-            if "\x1f" not in token and self.verdict(token) == 0:
-                out.append(token)
-            elif "\x1f" in token:
-                out += [w for _, _, w, _ in self.decode(token)]
-            else:
-                small = token[:1].islower() and self.verdict(token) == 2
-                if small and k + 1 < len(tokens) and self.verdict(tokens[k + 1]) == 2 and "\x1f" not in tokens[k + 1]:
-                    token, k = f"{token} {tokens[k + 1]}", k + 1
-                out += [w for _, _, w, _ in self.decode(token)]
-            k += 1
-        return " ".join(x for x in out if x)
-
 
 def lexicon(chunks: DataFrame, rate: float = RATE, reports: float = REPORTS) -> tuple[dict[str, int], frozenset[str], int]:
     """(words, headings, total): the words that make up at least `rate` of all, and the lines in `reports` of all reports.
@@ -414,45 +481,87 @@ def lexicon(chunks: DataFrame, rate: float = RATE, reports: float = REPORTS) ->
     return {r["key"]: r["n"] for r in rows if r["kind"] == "w"}, frozenset(r["key"] for r in rows if r["kind"] == "h"), total
 
 
-_readers: dict[int, Reader] = {}
+_kept: list = [None, None]
 
 
-def _reader(shared) -> Reader:  # noqa: ANN001
-    """This worker's reader of a broadcast lexicon, built once."""
-    key = shared._jbroadcast.id() if getattr(shared, "_jbroadcast", None) else id(shared)
-    return _readers.get(key) or _readers.setdefault(key, Reader(*shared.value))
+def _reader(token: str, shared) -> Reader:  # noqa: ANN001
+    """This worker's reader of a broadcast lexicon, built once. Workers serve one query after another: `token` names the lexicon."""
+    if _kept[0] != token:
+        _kept[:] = [token, Reader(*shared.value)]
+    return _kept[1]
 
 
-def find_noise(chunks: DataFrame) -> DataFrame:
-    """(id, line_no, kind): one row for each kind of noise in each line of chunk_text.
+_KEYS = "id string, h long, line_no int, kind string, report string, keys array<string>"
 
-    line_no counts the lines between line feeds from 0. kind is header, page_no, hyphen or ocr (a misread word or number in
-    running text). Null and empty texts have none. Repeated ids count once. Other columns than id, chunk_text and report_id
-    are ignored.
-    """
-    shared = chunks.sparkSession.sparkContext.broadcast(lexicon(chunks))
+
+def _report() -> Column:
+    """The report of a chunk; one of its own where report_id is null or empty."""
+    return F.coalesce(F.nullif(F.col("report_id").cast("string"), F.lit("")), F.concat(F.lit("\u0001"), F.coalesce(F.col("id").cast("string"), F.lit(""))))
+
+
+def _noise(chunks: DataFrame, token: str, shared, only_headers: bool = False) -> DataFrame:  # noqa: ANN001
+    """(id, h, line_no, kind, report, keys), each row once, h the hash of the text; headers, and lines that may be, have their running_keys. Runs at once."""
 
     def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        reader = _reader(shared)
+        reader = _reader(token, shared)
         for batch in batches:
-            rows = [(i, k, kind) for i, text in zip(batch.id, batch.chunk_text) if text for k, kind in reader.find(text)]
-            yield pd.DataFrame(rows, columns=["id", "line_no", "kind"])
+            rows = []
+            for i, h, text, report in zip(batch.id, batch.h, batch.chunk_text, batch.report):
+                if not text or only_headers and "\n" not in text:
+                    continue
+                lines = text.split("\n")
+                for k, kind in enumerate(reader.kinds(lines)) if only_headers else reader.find(text):
+                    if kind.startswith("header"):
+                        rows.append((i, h, k, kind, report, running_keys(lines[k].strip())))
+                    elif not only_headers:
+                        rows.append((i, h, k, kind, None, None))
+            yield pd.DataFrame(rows, columns=["id", "h", "line_no", "kind", "report", "keys"])
+
+    h = F.xxhash64("chunk_text") if only_headers else F.lit(0).cast("long")
+    return cut(chunks.select("id", h.alias("h"), "chunk_text", _report().alias("report")).mapInPandas(found, _KEYS).distinct())
+
 
-    return chunks.select("id", "chunk_text").mapInPandas(found, "id string, line_no int, kind string").distinct()
+def _runs(found: DataFrame) -> DataFrame:
+    """(id, h, line_no) of the lines in doubt that stand in RUNNING places of their report, alike but for a word."""
+    keyed = found.where("keys IS NOT NULL").select("id", "h", "line_no", "kind", "report", F.explode("keys").alias("key"))
+    often = keyed.groupBy("report", "key").agg(F.count("*").alias("n")).where(F.col("n") >= RUNNING).select("report", "key")
+    return keyed.where("kind = 'header?'").join(often, ["report", "key"], "left_semi").select("id", "h", "line_no").distinct()
+
+
+def find_noise(chunks: DataFrame) -> DataFrame:
+    """(id, line_no, kind): one row for each kind of noise in each line of chunk_text.
+
+    line_no counts the lines between line feeds from 0. kind is header, page_no, hyphen or ocr (a misread word or number in
+    running text). Lines of text are put into paragraphs, and the decoder reads each paragraph's de-lined stream. A line in
+    doubt is a header if it runs through its report; a null or empty report_id is no report. Null and empty texts have none.
+    Repeated ids count once. Other columns than id, chunk_text and report_id are ignored. Counting words and finding lines
+    run when this is called; what is returned reads their results.
+    """
+    token, shared = uuid.uuid4().hex, chunks.sparkSession.sparkContext.broadcast(lexicon(chunks))
+    found = _noise(chunks, token, shared)
+    runs = _runs(found).select("id", "line_no", F.lit("header").alias("kind"))
+    return found.where("kind <> 'header?'").select("id", "line_no", "kind").unionByName(runs)
 
 
 def repair(chunks: DataFrame) -> DataFrame:
     """(id, paragraph_no, text): the paragraphs of every chunk, in reading order, without noise.
 
-    Repeated rows of an id and text count once; an id with several texts has the paragraphs of each. A chunk of nothing but
-    noise, or without text, has no row.
+    Of the rows of an id the one created last counts (equal times, or no column created_at: the greater text); rows without
+    id are chunks of their own, equal ones once. A chunk of nothing but noise, or without text, has no row. Texts are moved
+    once, before they are read.
     """
-    shared = chunks.sparkSession.sparkContext.broadcast(lexicon(chunks))
+    token, shared = uuid.uuid4().hex, chunks.sparkSession.sparkContext.broadcast(lexicon(chunks))
+    newest = F.struct(*[F.col(c) for c in ("created_at", "chunk_text") if c in chunks.columns])
+    key = lambda text: F.coalesce(F.concat(F.lit("i"), F.col("id")), F.concat(F.lit("h"), text)).alias("__key")
+    filled = chunks.where("chunk_text <> ''")
+    runs = _runs(_noise(filled, token, shared, True)).select(key(F.col("h").cast("string")), F.struct("h", "line_no").alias("at")).groupBy("__key").agg(F.collect_list("at").alias("at"))
+    texts = filled.withColumn("__key", key(F.xxhash64("chunk_text").cast("string"))).groupBy("__key").agg(F.max("id").alias("id"), F.max(newest)["chunk_text"].alias("chunk_text"))
+    own = F.transform(F.filter("at", lambda x: x["h"] == F.xxhash64("chunk_text")), lambda x: x["line_no"])
 
     def repaired(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        reader = _reader(shared)
+        reader = _reader(token, shared)
         for batch in batches:
-            rows = [(i, k, p) for i, text in zip(batch.id, batch.chunk_text) if text for k, p in enumerate(reader.repair(text))]
+            rows = [(i, k, p) for i, text, run in zip(batch.id, batch.chunk_text, batch.running) for k, p in enumerate(reader.repair(text, () if run is None else set(run)))]
             yield pd.DataFrame(rows, columns=["id", "paragraph_no", "text"])
 
-    return chunks.select("id", "chunk_text").mapInPandas(repaired, "id string, paragraph_no int, text string").distinct()
+    return texts.join(runs, "__key", "left").select("id", "chunk_text", own.alias("running")).mapInPandas(repaired, "id string, paragraph_no int, text string")

@@ -1,4 +1,6 @@
+import os
 import random
+import sys
 
 import numpy as np
 import pytest
@@ -8,6 +10,8 @@ from pyspark.sql import functions as F
 
 from strata.llm import mixing, names, noise, packing, quality, splitting, tokens
 
+sys.path.insert(0, os.path.dirname(__file__))
+
 CHUNK = "id string, chunk_text string, doc_type string, report_id string, chunk_index int, created_at string, extra string"
 
 
@@ -195,12 +199,42 @@ def test_noise(spark):
     assert noise.find_noise(chunks.limit(0)).count() == 0 and noise.repair(chunks.limit(0)).count() == 0
 
 
+def test_readers_of_two_corpora_do_not_mix(spark):
+    """Workers live on from query to query: each must read with its own lexicon."""
+    words = [("the granite was followed along the northern contact", "granite", "granitc"), ("une veine recoupe les roches dans le secteur nord", "secteur", "sectcur")]
+    made = []
+    for text, word, wrong in words:
+        rows = [(f"c{k}", f"{text} {k}.", f"r{k}") for k in range(40)] + [("n", f"{text.replace(word, wrong)} 1.", "r1")]
+        made.append(spark.createDataFrame(rows, "id string, chunk_text string, report_id string").repartition(2))
+    for _ in range(5):
+        for chunks in made:
+            assert {tuple(r) for r in noise.find_noise(chunks).collect()} == {("n", 0, "ocr")}
+
+
+def test_a_line_is_a_header_if_it_runs(spark):
+    body = [f"{BODY}." for _ in range(3)]
+    page = lambda head: "\n".join([body[0], "", head, "", body[1], body[2]])
+    rows = [(f"c{k}", BODY + ".", f"r{k}") for k in range(50)]
+    rows += [("a", page("The Granite Was Followed"), "q"), ("b", page("North Survey Report"), "q"), ("c", page("North Surucy Report"), "q"), ("d", page("North Survey Report"), None), ("e", page("North Survey Report"), None)]
+    rows += [("f", page("South Granite Report"), "q"), ("f", page("South Granite Report"), "q")]
+    chunks = spark.createDataFrame(rows, "id string, chunk_text string, report_id string")
+    assert {tuple(r) for r in noise.find_noise(chunks).collect()} == {("b", 2, "header"), ("c", 2, "header")}
+    got = {(r.id, r.text) for r in noise.repair(chunks).collect()}
+    assert ("a", "The Granite Was Followed") in got and ("d", "North Survey Report") in got and not {i for i, t in got if "Surucy" in t or t == "North Survey Report"} - {"d", "e"}
+
+
+def test_repair_takes_one_row_of_an_id(spark):
+    rows = [("a", f"{BODY}. Old.", "r", "1"), ("a", f"{BODY}. New.", "r", "2"), ("a", f"{BODY}. New.", "r", "2"), (None, f"{BODY}. One.", "r", None), (None, f"{BODY}. Two.", None, None), ("b", " ", "r", "1")]
+    chunks = spark.createDataFrame(rows, "id string, chunk_text string, report_id string, created_at string")
+    assert sorted((r.id or "", r.paragraph_no, r.text[-4:]) for r in noise.repair(chunks).collect()) == [("", 0, "One."), ("", 0, "Two."), ("a", 0, "New.")]
+
+
 def test_words_broken_by_blanks_are_mended():
     words = {w: 1000 for w in (BODY + " con act").split()}
     reader = noise.Reader(words, frozenset(), sum(words.values()))
-    for whole, broken in [("contact", "con tact"), ("contact", "c on tact"), ("granite", "gr an ite"), ("granite", "gran ite")]:
+    for whole, broken in [("contact", "con tact"), ("contact", "c on tact"), ("granite", "gr an ite"), ("granite", "gran ite"), ("contact", "con act")]:
         text = BODY.replace(whole, broken)
-        assert reader.repair(text) == [BODY] and reader.find(text) == [(0, "ocr")]
+        assert reader.repair(text) == [BODY if broken != "con act" else text] and reader.find(text) == ([(0, "ocr")] if broken != "con act" else [])
     for text in (BODY.replace("granite", "granite Ewan Grethuroe"), BODY.replace("granite", "con Grethuroe act"), BODY + ". Con Tact"):
         assert reader.repair(text) == [text]
 
@@ -211,6 +245,62 @@ def test_decoder_splits_and_merges():
     read = lambda s: [w for _, _, w, _ in reader.decode(s)]
     assert read("ano\x1fmaly") == ["anomaly"] and read("ano maly") == ["anomaly"] and read("surveylines") == ["survey", "lines"] and read("anornaly") == ["anomaly"]
     assert reader.decode("survey") == [(0, 6, "survey", False)]
+    assert read("x" * 5000) == ["x" * 5000] and read("Grethuroe and") == ["Grethuroe", "and"] and read("") == []
+
+
+def test_the_whole_stream_is_decoded_jointly():
+    """Words that begin in one token and end in another, over blanks, line ends and hyphens."""
+    words = {w: 500 for w in BODY.split()}
+    reader = noise.Reader(words, frozenset(), sum(words.values()))
+    text = BODY.replace("the contact between", "theconta ct betw-\neen").replace("survey lines", "surveylines").replace("anomaly was", "ano maIy was").replace("followed along", "foll owedalong")
+    assert reader.repair(text) == [BODY]
+    assert sorted(reader.find(text)) == [(0, "hyphen"), (0, "ocr")]
+
+
+def test_windows_read_as_the_whole_stream_does():
+    rnd = random.Random(9)
+    words = {w: 500 for w in BODY.split()}
+    reader = noise.Reader(words, frozenset(), sum(words.values()))
+    for _ in range(60):
+        tokens = BODY.split()[: rnd.randrange(2, 12)]
+        for _ in range(3):
+            k = rnd.randrange(len(tokens))
+            t = tokens[k]
+            at = rnd.randrange(len(t))
+            tokens[k : k + 1] = rnd.choice([[t[:at], t[at:]], [t[:at] + rnd.choice("xe1") + t[at + 1 :]], [t]])
+            tokens = [x for x in tokens if x]
+        whole = [w for _, _, w, _ in reader.decode(" ".join(tokens))]
+        read, at = [], 0
+        for a, b, word, _ in reader.read(tokens):
+            read += [*tokens[at:a], word]
+            at = b
+        assert read + tokens[at:] == whole, tokens
+
+
+def test_paragraphs_depend_on_their_own_width():
+    reader = noise.Reader({w: 9 for w in BODY.split()}, frozenset(), 999)
+    narrow = ["The survey lines were cut", "at right angles and the", "anomaly was followed.", "Northern granite was cut", "along the basalt."]
+    wide = ["The survey lines were cut at right angles and the anomaly was followed along the contact", "between the granite and the basalt at right angles along the", "contact."]
+    lines = [*narrow, "", *wide]
+    got = reader.paragraphs(lines, reader.kinds(lines), [k for k, x in enumerate(lines) if x])
+    assert got == [[0, 1, 2, 3, 4], [6, 7, 8]]
+    short = ["The survey lines were cut at right angles and the anomaly was", "followed.", "The granite was cut along the basalt and the contact was", "followed at right angles."]
+    assert reader.paragraphs(short, ["text"] * 4, [0, 1, 2, 3]) == [[0, 1], [2, 3]]
+
+
+def test_repair_is_true_to_the_text():
+    from fidelity import measure
+
+    rnd = random.Random(8)
+    words = BODY.split()
+    texts = [[" ".join(["The", *(rnd.choice(words) for _ in range(40))]) + "." for _ in range(4)] for _ in range(30)]
+    counted: dict = {}
+    for p in texts:
+        for w in " ".join(p).lower().replace(".", "").split():
+            counted[w] = counted.get(w, 0) + 1
+    reader = noise.Reader(counted, frozenset(), sum(counted.values()))
+    got = measure(reader, texts)
+    assert got["before"] > 0.008 and got["after"] < 0.1 * got["before"] and got["ends_found"] > 0.97 and got["ends_right"] > 0.97
 
 
 # Quality
