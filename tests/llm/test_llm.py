@@ -300,7 +300,7 @@ def test_repair_is_true_to_the_text():
             counted[w] = counted.get(w, 0) + 1
     reader = noise.Reader(counted, frozenset(), sum(counted.values()))
     got = measure(reader, texts)
-    assert got["before"] > 0.008 and got["after"] < 0.1 * got["before"] and got["ends_found"] > 0.97 and got["ends_right"] > 0.97
+    assert got["before"] > 0.004 and got["after"] < 0.1 * got["before"] and got["ends_found"] > 0.97 and got["ends_right"] > 0.97
 
 
 # Quality
