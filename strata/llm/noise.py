@@ -63,6 +63,9 @@ _mixed = re.compile(r"[a-z][A-Z][a-z]|[a-zé][0-9@$!|þ][a-zé]|[a-zé]{2}[0-9@$
 SMALL = frozenset("of on the by for and no no. to in a an at from de du des la le les sur et par pour report rapport file dossier project projet prepared work page p p.".split())
 
 
+_shape = {chr(c): v for c, v in SHAPES.items()}.get
+
+
 def skeleton(word: str) -> str:
     """A word as the strokes by which scanners tell letters."""
     return word.translate(SHAPES)
@@ -129,6 +132,24 @@ def _counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield out()
 
 
+class _Plain(dict):
+    """token -> whether it is a word of the lexicon, a number or a code as it stands, or has no letters: nothing to decode.
+
+    Filled as it is asked; a full table is emptied, which costs time and changes nothing else.
+    """
+
+    def __init__(self, words: dict[str, int]) -> None:
+        self.words = words
+
+    def __missing__(self, token: str) -> bool:
+        x = token.lstrip(EDGE).rstrip(CLOSE)
+        v = "\x1f" not in token and (not x or x.lower() in self.words or bool(_number(x)) or bool(_code(x)) or not any(c.isalpha() or c in "!|$@" for c in x))
+        if len(self) > 600_000:
+            self.clear()
+        self[token] = v
+        return v
+
+
 class Reader:
     """The lexicon of a corpus and the decoder over it."""
 
@@ -142,7 +163,7 @@ class Reader:
         self.words = {w: n for w, n in words.items() if w not in misread}
         self.top = {k: nw for k, nw in top.items() if nw[1] not in misread}
         self.headings, self.total = headings, max(total, 1)
-        self.seen: dict[str, int] = {}
+        self.plain = _Plain(self.words).__getitem__
         self.decoded: dict[str, tuple] = {}
 
     def word_cost(self, u: str) -> tuple[float, str, bool]:
@@ -185,8 +206,13 @@ class Reader:
         n, gaps = len(stream), " \n\x1f"
         best: list[float] = [0.0] + [math.inf] * n
         back: list[tuple] = [(0, "", False)] * (n + 1)
-        low = [c.lower() for c in stream]
-        shapes = list(map(skeleton, low))
+        low = stream.lower()
+        if len(low) != n:
+            low = [c.lower() for c in stream]
+        shapes = [_shape(c, c) for c in low]
+        gap = [n] * n  # where the next blank is
+        for k in range(n - 2, -1, -1) if n > LONGEST else ():
+            gap[k] = k + 1 if stream[k + 1] in gaps else gap[k + 1]
         for i in range(n):
             if best[i] == math.inf:
                 continue
@@ -198,8 +224,11 @@ class Reader:
             plain, kept, small, strokes, extra, j = "", "", "", "", 0.0, i
             while j < n and (extra == 0.0 or j - i < LONGEST):
                 if j - i >= LONGEST:  # nothing but a word of no lexicon, up to the next blank
-                    end = min((x for x in (stream.find(g, j) for g in gaps) if x >= 0), default=n)
-                    plain, kept, j = plain + stream[j:end], kept + stream[j:end], end - 1
+                    j = gap[i]
+                    cost = best[i] + UNKNOWN + LETTER * (j - i)
+                    if cost < best[j]:
+                        best[j], back[j] = cost, (i, stream[i:j], False)
+                    break
                 elif stream[j] in gaps:
                     extra += HYPHEN if stream[j] == "\x1f" else BLANK
                     kept += "-" if stream[j] == "\x1f" else ""
@@ -232,17 +261,6 @@ class Reader:
             self.decoded[stream] = out
         return out
 
-    def plain(self, token: str) -> bool:
-        """Whether a token is a word of the lexicon, a number or a code as it stands, or has no letters: nothing to decode."""
-        v = self.seen.get(token)
-        if v is None:
-            x = token.lstrip(EDGE).rstrip(CLOSE)
-            v = "\x1f" not in token and (not x or x.lower() in self.words or bool(_number(x)) or bool(_code(x)) or not any(c.isalpha() or c in "!|$@" for c in x))
-            if len(self.seen) > 600_000:
-                self.seen.clear()
-            self.seen[token] = v
-        return v
-
     def meet(self, a: str, b: str) -> bool:
         """Whether a word of the lexicon may run over the blank between two tokens, one of which at least isn't plain."""
         x, y = a.lower(), b.lower()
@@ -262,30 +280,38 @@ class Reader:
         tokens that aren't plain, with those neighbours that a word might run into; two tokens that aren't plain always belong
         together, as do the three parts of a word. The readings of these windows make up that of the whole stream.
         """
-        odd = [not self.plain(t) for t in tokens]
-        joined = [False] * len(tokens)  # whether a word may run from token k into k + 1
-        for k in range(len(tokens) - 1):
-            if odd[k] or odd[k + 1]:
-                joined[k] = joined[k] or odd[k] and odd[k + 1] or self.meet(tokens[k], tokens[k + 1])
-            elif (tokens[k] + tokens[k + 1]).lower() in self.words:
-                joined[k] = True
-            if odd[k] and k + 2 < len(tokens) and odd[k + 2] and not odd[k + 1]:
+        last = len(tokens) - 1
+        odd = [k for k, v in enumerate(map(self.plain, tokens)) if not v]
+        joined: set[int] = set()  # tokens from which a word may run into the next
+        if not self.words.keys().isdisjoint(map(str.lower, map(add, tokens, tokens[1:]))):
+            joined = {k for k in range(last) if (tokens[k] + tokens[k + 1]).lower() in self.words}
+        others = set(odd)
+        for k in odd:
+            if k < last and (k + 1 in others or self.meet(tokens[k], tokens[k + 1])):
+                joined.add(k)
+            if k and k - 1 not in others and self.meet(tokens[k - 1], tokens[k]):
+                joined.add(k - 1)
+            if k + 2 in others and k + 1 not in others:
                 whole = "".join(tokens[k : k + 3]).strip(EDGE).lower()
                 if whole in self.words or skeleton(whole) in self.top:
-                    joined[k] = joined[k + 1] = True
-        out, k = [], 0
-        while k < len(tokens):
+                    joined |= {k, k + 1}
+        out: list[tuple[int, int]] = []
+        for k in sorted(others | joined):
+            if out and k < out[-1][1]:
+                continue
             end = k + 1
-            while joined[end - 1]:
+            while end - 1 in joined:
                 end += 1
-            if odd[k] or end > k + 1:
-                out.append((k, end))
-            k = end
+            out.append((k, end))
         return out
 
-    def read(self, tokens: Sequence[str]) -> Iterator[tuple[int, int, str, bool]]:
+    def read(self, tokens: Sequence[str], windows: list[tuple[int, int]] | None = None) -> Iterator[tuple[int, int, str, bool]]:
         """(from, to, word, misread) for each word that the decoder reads in the windows of a stream: the tokens it has a part of."""
-        for a, b in self.windows(tokens):
+        for a, b in self.windows(tokens) if windows is None else windows:
+            if b == a + 1:
+                for _, _, word, misread in self.decode(tokens[a]):
+                    yield a, b, word, misread
+                continue
             part = tokens[a:b]
             starts = [0]
             for t in part[:-1]:
@@ -417,19 +443,23 @@ class Reader:
         names: Counter = Counter()
         where: dict[str, set[int]] = {}
         last = len(lines) - 1 if text.rstrip()[-1:].isalnum() else -1
-        for numbers in self.paragraphs(lines, kinds, body):
-            tokens, of = self.stream(lines, numbers)
-            for a, b, word, misread in self.read(tokens):
+        tokens, of = self.stream(lines, body)
+        windows = self.windows(tokens)
+        streams = [(tokens, of, windows)]
+        if any(of[a] != of[b - 1] for a, b in windows):  # words may run over the ends of lines: not over those of paragraphs
+            streams = [(*self.stream(lines, numbers), None) for numbers in self.paragraphs(lines, kinds, body)]
+        for tokens, of, windows in streams:
+            for a, b, word, misread in self.read(tokens, windows):
                 if of[b - 1] == last and b == len(tokens) and b == a + 1:
                     continue  # the chunk ends within a word, perhaps
-                parts = tokens[a].split("\x1f")
+                halves = tokens[a].split("\x1f")
                 if misread:
                     got = word.replace("-", "").lower()
-                    head = parts[0].lower()
-                    bad.add(ends.get(of[a], of[a]) if len(parts) > 1 and got.startswith(head[: len(got)]) else of[a])
+                    head = halves[0].lower()
+                    bad.add(ends.get(of[a], of[a]) if len(halves) > 1 and got.startswith(head[: len(got)]) else of[a])
                 elif b > a + 1:
                     bad |= {of[a], of[b - 1]}
-                elif len(parts) == 1 and word == tokens[a] and word[0].isupper() and len(word) > 4 and not self.plain(word):
+                elif len(halves) == 1 and word == tokens[a] and word[0].isupper() and len(word) > 4 and not self.plain(word):
                     x = word.strip(EDGE)
                     names[x] += 1
                     where.setdefault(x, set()).add(of[a])
