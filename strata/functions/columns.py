@@ -62,6 +62,21 @@ def ladder(text: Column, limit: int) -> Column:
     return F.left(text, F.lit(rung))
 
 
+def content_hash(content: Column) -> Column:
+    """(sha256, size_bytes) of a text in UTF-8, or of bytes."""
+    return F.struct(F.sha2(content, 256).alias("sha256"), F.octet_length(content).cast("long").alias("size_bytes"))
+
+
+def megabytes(size: Column) -> Column:
+    """A size in bytes as reports show it: megabytes with one digit, a question mark if it is unknown or 0."""
+    return F.when(F.coalesce(size, F.lit(0)) != 0, F.format_string("%.1fMB", size / 1e6)).otherwise("?")
+
+
+def jurisdiction_of(code: Column) -> Column:
+    """The jurisdiction that a code of scraped reports begins with."""
+    return F.split_part(code, F.lit("_"), F.lit(1))
+
+
 def l2_normalize(v: Column) -> Column:
     """A vector of length one; a zero or empty vector stays as it is, null stays null."""
     norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))

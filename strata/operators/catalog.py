@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from functools import reduce
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,12 +17,21 @@ TEXT_COLUMNS = ("COMPANY", "COMPANY_NAME", "TITLE", "COMMODITY", "COMMODITIES",
 def load(spark: SparkSession, folder: str, prefix: str = "") -> list[str]:
     """Registers every Parquet table of a folder as a view, in the order of their names; returns the views' names."""
     names = []
-    for path in sorted(Path(folder).glob("*.parquet")):
-        spark.read.parquet(str(path)).createOrReplaceTempView(prefix + path.stem)
-        names.append(prefix + path.stem)
+    for path in listed(spark, f"{folder}/*.parquet"):
+        name = prefix + path.rsplit("/", 1)[-1].removesuffix(".parquet")
+        spark.read.parquet(path).createOrReplaceTempView(name)
+        names.append(name)
     return names
 
 
+def listed(spark: SparkSession, pattern: str) -> list[str]:
+    """The paths that a pattern matches on any file system the session knows, in order."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
+    return sorted(f.getPath().toString() for f in found or [])
+
+
 def columns(spark: SparkSession, names: list[str]) -> DataFrame:
     """(table_name, position, column_name, data_type) of the named views."""
     rows = [(t, i, c, kind) for t in names for i, (c, kind) in enumerate(spark.table(t).dtypes)]

@@ -17,8 +17,10 @@ def chunks(text: Column, most: int = MAX_CHARS, least: int = MIN_CHARS) -> Colum
     """The chunks of a text: paragraphs put together up to `most` characters, blank lines between them not counted.
 
     A text below `least` is one chunk. Blocks below `least` are left out; if that leaves nothing, the first paragraph
-    stands. Every chunk is cut to 1400 characters. Null has no chunks.
+    stands. Every chunk is cut to 1400 characters; a greater `most` raises, as it would lose text. Null has no chunks.
     """
+    if most > MAX_CHARS:
+        raise ValueError(f"chunks hold {MAX_CHARS} characters at most")
     clean = strip(text)
     raw = F.split(clean, _GAP)
     paragraphs = F.filter(F.transform(raw, lambda p: strip(p)), lambda p: p != "")
@@ -57,21 +59,56 @@ def without_repeats(rows: DataFrame, keys: list[str], text: str = "chunk") -> Da
     return rows.withColumn("__k", F.row_number().over(w)).where("__k = 1").drop("__k")
 
 
-def ingest(docs: DataFrame, text: str = "text") -> DataFrame:
+def lost_characters(docs: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
+    """(keys, characters, kept): visible characters of each document and of its chunks; short blocks and ends of long ones are lost."""
+    seen = lambda c: F.length(F.regexp_replace(F.coalesce(c, F.lit("")), r"(?U)\s+", ""))
+    kept = F.aggregate(F.coalesce(chunks(F.col(text)), F.array().cast("array<string>")), F.lit(0), lambda n, c: n + seen(c))
+    return docs.select(*keys, seen(F.col(text)).alias("characters"), kept.alias("kept"))
+
+
+def record(row_id: Column, text: Column, own: dict[str, Column], extra: Column) -> Column:
+    """A chunk as a flat record (id, text, metadata map): what `extra` names overrides the chunk's own fields; nulls are left out.
+
+    A null `extra` names nothing; a key that it gives a null value is left out.
+    """
+    more = F.coalesce(extra, F.create_map().cast("map<string,string>"))
+    mine = F.create_map(*[x for k, v in own.items() for x in (F.lit(k), v.cast("string"))])
+    merged = F.map_concat(F.map_filter(mine, lambda k, _: ~F.map_contains_key(more, k)), more)
+    return F.struct(row_id.alias("id"), text.alias("text"), F.map_filter(merged, lambda _, v: v.isNotNull()).alias("metadata"))
+
+
+def ingest(docs: DataFrame, text: str = "text", metadata: str | None = None) -> DataFrame:
     """Chunk records of documents (jurisdiction, source_code, report_id, source_url, text) with their metadata.
 
     (id, text, jurisdiction, source_code, report_id, source_url, doc_type, commodity, company, nts_sheet, chunk_index).
+    `metadata` names a column of map<string,string> whose values override what is found, under the names above.
     """
-    described = extract.metadata(docs.select("jurisdiction", "source_code", "report_id", "source_url", F.col(text).alias("text")), "text")
+    given = F.col(metadata) if metadata else F.lit(None).cast("map<string,string>")
+    own = [F.coalesce(F.try_element_at(given, F.lit(c)), F.col(c)).alias(c) for c in ("jurisdiction", "source_code", "report_id", "source_url")]
+    described = extract.metadata(docs.select(*own, given.alias("__given"), F.col(text).alias("text")), "text")
+    described = described.select(
+        "jurisdiction", "source_code", "report_id", "source_url", "text",
+        *[F.coalesce(F.try_element_at("__given", F.lit(c)), found).alias(c) for c, found in (("doc_type", F.col("report_type")), ("commodity", F.to_json("commodities")), ("company", F.col("company")), ("nts_sheet", F.col("nts_sheet")))],
+    )
     rows = without_repeats(chunked(described), ["jurisdiction", "source_code", "report_id", "source_url"])
     return rows.select(
         chunk_id(F.col("jurisdiction"), F.col("source_code"), F.col("source_url"), F.col("report_id"), F.col("chunk_index")).alias("id"), F.col("chunk").alias("text"),
-        "jurisdiction", "source_code", "report_id", "source_url", F.col("report_type").alias("doc_type"), F.to_json("commodities").alias("commodity"), "company", "nts_sheet", "chunk_index",
+        "jurisdiction", "source_code", "report_id", "source_url", "doc_type", "commodity", "company", "nts_sheet", "chunk_index",
     )
 
 
-def counters(docs: DataFrame, records: DataFrame, key: str = "report_id") -> DataFrame:
-    """(total, ingested, skipped, chunks) of an ingestion: documents with chunks are ingested, others skipped."""
-    made = records.groupBy(key).agg(F.count("*").alias("n"))
-    rows = docs.select(key).distinct().join(made, key, "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    return rows.agg(F.count("*").alias("total"), F.count_if(F.col("n") > 0).alias("ingested"), F.count_if(F.col("n") == 0).alias("skipped"), F.coalesce(F.sum("n"), F.lit(0)).alias("chunks"))
+def counters(docs: DataFrame, records: DataFrame | None, key: str = "report_id", failed: Column | None = None) -> DataFrame:
+    """(total, ingested, failed, skipped, chunks) of an ingestion: documents with chunks are ingested, those that `failed` tells of failed, others skipped.
+
+    Without records it is a dry run, which counts all documents as ingested and makes no chunks.
+    """
+    rows = docs.groupBy(key).agg(F.bool_or(failed if failed is not None else F.lit(False)).alias("bad"))
+    if records is None:
+        rows = rows.select(F.lit(1).alias("n"), F.lit(0).alias("chunks"), F.lit(False).alias("bad"))
+    else:
+        made = records.groupBy(key).agg(F.count("*").alias("n"))
+        rows = rows.join(made, key, "left").select(F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("n", F.lit(0)).alias("chunks"), F.coalesce("bad", F.lit(False)).alias("bad"))
+    none = F.col("n") == 0
+    return rows.agg(
+        F.count("*").alias("total"), F.count_if(~none).alias("ingested"), F.count_if(none & F.col("bad")).alias("failed"), F.count_if(none & ~F.col("bad")).alias("skipped"), F.coalesce(F.sum("chunks"), F.lit(0)).alias("chunks")
+    )

@@ -12,7 +12,13 @@ def gaps(expected: DataFrame, populated: DataFrame) -> DataFrame:
 
 
 def scores(expected: DataFrame, populated: DataFrame) -> DataFrame:
-    """(jurisdiction, expected, covered, score): the covered share, half to even at two places."""
-    have = populated.select("jurisdiction", "code").distinct().withColumn("__have", F.lit(1))
-    by = expected.select("jurisdiction", "code").distinct().join(have, ["jurisdiction", "code"], "left").groupBy("jurisdiction").agg(F.count("*").alias("expected"), F.count("__have").alias("covered"))
+    """(jurisdiction, expected, covered, resources, score): the covered share, half to even at two places.
+
+    Each row of `populated` adds one to its code, or the value of a column `n` where there is one; a code with 0 is covered.
+    resources adds up those of the expected codes, null if none is covered.
+    """
+    n = F.col("n") if "n" in populated.columns else F.lit(1)
+    have = populated.groupBy("jurisdiction", "code").agg(F.coalesce(F.sum(n), F.lit(0)).alias("__n"))
+    by = expected.select("jurisdiction", "code").distinct().join(have, ["jurisdiction", "code"], "left").groupBy("jurisdiction")
+    by = by.agg(F.count("*").alias("expected"), F.count("__n").alias("covered"), F.sum("__n").alias("resources"))
     return by.withColumn("score", F.bround(F.col("covered") / F.col("expected"), 2))

@@ -19,7 +19,15 @@ REPORT_TYPE = (
     r"|geophysical|geophys|magnetometer|electromagnetic|EM|IP\s*survey|assay|assessment\s*work|progress\s*report"
     r"|compilation|data\s*compilation|preliminary\s*economic|PEA|feasibility|scoping)\b"
 )
-TYPES = (("drill", "drill"), ("assay", "drill"), ("geochem", "geochem"), ("geophysical", "geophys"), ("magnetometer", "geophys"), ("electromagnetic", "geophys"))
+#: The word within a keyword that decides the type of a report, in the order in which they are tried.
+TYPES = {
+    "drill": "assessment_report_drill",
+    "assay": "assessment_report_drill",
+    "geochem": "assessment_report_geochem",
+    "geophysical": "assessment_report_geophys",
+    "magnetometer": "assessment_report_geophys",
+    "electromagnetic": "assessment_report_geophys",
+}
 FIRST_PAGE = 3000
 
 
@@ -44,8 +52,8 @@ def report_type(text: Column) -> Column:
 
     def decide(match: Column) -> Column:
         low, out = F.lower(match), F.lit(None).cast("string")
-        for key, kind in reversed(TYPES):
-            out = F.when(low.contains(key), f"assessment_report_{kind}").otherwise(out)
+        for key, kind in reversed(TYPES.items()):
+            out = F.when(low.contains(key), kind).otherwise(out)
         return out
 
     decided = F.filter(F.transform(F.regexp_extract_all(text, F.lit(REPORT_TYPE), F.lit(0)), decide), lambda t: t.isNotNull())

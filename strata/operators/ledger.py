@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from strata.functions.columns import CORE_FORMATS, format_norm
 from strata.operators.snapshots import iso_date
-from strata.util import falsy
+from strata.util import falsy, previous
 
 
 def upserted(ledger: DataFrame) -> DataFrame:
@@ -58,15 +58,33 @@ def classify(inventory: DataFrame, ledger: DataFrame, force: bool = False) -> Da
     return rows.withColumn("status", status).drop("__key", "__seen")
 
 
+def counters(outcome: DataFrame) -> DataFrame:
+    """(fetched, skipped, failed, pending) of classified or harvested rows; fetched counts what a plan would fetch, too."""
+    status = F.col("status")
+    return outcome.agg(F.count_if(status.isin("new", "fetch", "fetched")).alias("fetched"), F.count_if(status.isin("unchanged", "skipped")).alias("skipped"), F.count_if(status == "failed").alias("failed"), F.count_if(status == "pending").alias("pending"))
+
+
 def changed_content(fetched: DataFrame, ledger: DataFrame) -> DataFrame:
     """The fetched rows (resource_id, sha256, ...) whose hash differs from the resource's latest; the rest is skipped."""
     have = latest(ledger).select("resource_id", F.col("sha256").alias("__have"))
     return fetched.join(have, "resource_id", "left").where("__have IS NULL OR __have <> sha256").drop("__have")
 
 
-def unseen(reports: DataFrame, ledger: DataFrame, prefix: str) -> DataFrame:
-    """The reports whose id, as prefix:report_id, is in no row of the ledger."""
-    keyed = reports.withColumn("resource_id", F.concat(F.lit(prefix + ":"), F.col("report_id")))
+def content_history(ledger: DataFrame) -> DataFrame:
+    """(resource_id, local_path, sha256, status): whether each download's content differs from the resource's download before.
+
+    status is new (nothing before, or nothing known of it), skipped or changed. Downloads are ordered by time, hash and path;
+    a day of a resource is the most that one task orders. A null hash tells no change: its status is null after a known one.
+    """
+    time = F.coalesce("fetched_at", F.lit(""))
+    rows = previous(ledger.select("resource_id", "local_path", "sha256", "fetched_at"), ["resource_id"], [time, F.col("sha256"), F.col("local_path")], F.col("sha256"), F.left(time, F.lit(10)), "__had")
+    status = F.when(F.col("__had").isNull(), "new").when(F.col("__had") == F.col("sha256"), "skipped").when(F.col("__had") != F.col("sha256"), "changed")
+    return rows.select("resource_id", "local_path", "sha256", status.alias("status"))
+
+
+def unseen(reports: DataFrame, ledger: DataFrame, code: Column) -> DataFrame:
+    """The reports whose id, as code:report_id, is in no row of the ledger; with that id as resource_id."""
+    keyed = reports.withColumn("resource_id", F.concat_ws(":", code, F.col("report_id")))
     return keyed.join(ledger.select("resource_id").distinct(), "resource_id", "left_anti")
 
 

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from strata.functions import columns as C
 from strata.operators import catalog, chunking, coverage, extract, ledger, search, spatial, vectors
+from strata.plans import pipeline
+from strata.sources import registry
+from strata.streaming import refresh
 from strata.util import falsy, strip, table
 
 QUERIES: dict = {}
@@ -37,14 +41,22 @@ def q_label_first_match(spark: SparkSession, d: str) -> DataFrame:
     return inv.select("resource_id", "code", C.label(F.col("dataset"), RULES).alias("label")).where("label IS NOT NULL")
 
 
+def _packages(spark: SparkSession, d: str) -> DataFrame:
+    """The inventory as packages of a portal: each row one with its resource, rows without resource_id packages without any."""
+    one = F.struct(F.col("resource_id").alias("id"), F.col("resource_name").alias("name"), "format", "url", "last_modified", F.lit("once").alias("created"), "size")
+    none = F.array().cast("array<struct<id:string,name:string,format:string,url:string,last_modified:string,created:string,size:bigint>>")
+    return table(spark, d, "inventory").select(F.col("dataset").alias("title"), F.col("code").alias("name"), F.col("license").alias("license_title"), F.when(F.col("resource_id").isNotNull(), F.array(one)).otherwise(none).alias("resources"))
+
+
 @query(
-    "WITH p AS (SELECT code, list(resource_id) AS rs FROM inventory WHERE resource_id IS NOT NULL GROUP BY code) "
-    "SELECT code, r AS resource_id FROM (SELECT code, unnest(rs) AS r FROM p)"
+    rf"""SELECT label AS code, t AS dataset, resource_id, coalesce(nullif(resource_name, ''), t) AS resource_name, regexp_replace(lower(trim(coalesce(format, ''))), '^\.+', '') AS format,
+    url, coalesce(nullif(last_modified, ''), 'once') AS last_modified, size, license
+    FROM (SELECT *, {_LABEL.replace("contains(t,", "contains(lower(t),")} AS label FROM (SELECT *, coalesce(nullif(dataset, ''), nullif(code, ''), '') AS t FROM inventory)) WHERE label IS NOT NULL AND resource_id IS NOT NULL"""
 )
 def q_unnest_resources(spark: SparkSession, d: str) -> DataFrame:
-    """One row for each resource of a package; packages without resources have none."""
-    packages = table(spark, d, "inventory").where("resource_id IS NOT NULL").groupBy("code").agg(F.collect_list("resource_id").alias("resources"))
-    return packages.select("code", F.explode("resources").alias("resource_id"))
+    """One inventory row for each resource of a package that a rule labels; packages without resources have none."""
+    rows = pipeline.catalog_inventory(_packages(spark, d), "X", "portal", RULES)
+    return rows.select("code", "dataset", "resource_id", "resource_name", "format", "url", "last_modified", "size", "license")
 
 
 @query("SELECT event_id, try_cast(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
@@ -110,7 +122,7 @@ def q_inventory_totals(spark: SparkSession, d: str) -> DataFrame:
 @query("SELECT DISTINCT code FROM inventory WHERE code IS NOT NULL AND code NOT IN (SELECT code FROM harvest WHERE code IS NOT NULL)")
 def q_pending_sources(spark: SparkSession, d: str) -> DataFrame:
     """Codes on offer of which nothing was ever fetched."""
-    return table(spark, d, "inventory").where("code IS NOT NULL").select("code").distinct().join(table(spark, d, "harvest").select("code"), "code", "left_anti")
+    return registry.unserved(table(spark, d, "inventory"), table(spark, d, "harvest"))
 
 
 @query(
@@ -119,8 +131,8 @@ def q_pending_sources(spark: SparkSession, d: str) -> DataFrame:
 )
 def q_pdf_antijoin(spark: SparkSession, d: str) -> DataFrame:
     """Reports that the ledger doesn't know."""
-    reports = table(spark, d, "rag_chunk").where("report_id <> '' AND source_code IS NOT NULL").select("report_id", F.concat_ws(":", "source_code", "report_id").alias("resource_id")).distinct()
-    return reports.join(table(spark, d, "harvest").select("resource_id"), "resource_id", "left_anti")
+    reports = table(spark, d, "rag_chunk").where("report_id <> '' AND source_code IS NOT NULL").select("source_code", "report_id").distinct()
+    return ledger.unseen(reports, table(spark, d, "harvest"), F.col("source_code")).select("report_id", "resource_id")
 
 
 _LATEST = "SELECT resource_id, sha256, ckan_modified, fetched_at, local_path FROM (SELECT *, row_number() OVER (PARTITION BY resource_id ORDER BY coalesce(fetched_at, '') DESC, sha256 DESC NULLS LAST, ckan_modified DESC NULLS LAST, local_path DESC NULLS LAST) AS k FROM harvest) WHERE k = 1"
@@ -150,15 +162,38 @@ def q_change_detect(spark: SparkSession, d: str) -> DataFrame:
     return ledger.classify(table(spark, d, "inventory"), table(spark, d, "harvest")).select("resource_id", "url", "prev_sha256", "status")
 
 
+@query(
+    f"WITH l AS ({_LATEST}) SELECT count(*) FILTER (s IN ('new', 'fetch')) AS fetched, count(*) FILTER (s = 'unchanged') AS skipped, 0::BIGINT AS failed, count(*) FILTER (s = 'pending') AS pending FROM (SELECT CASE WHEN i.url IS NULL OR i.url = '' THEN 'pending' WHEN NOT {_ALLOWED} THEN 'excluded' "
+    "WHEN l.sha256 IS NULL THEN 'new' WHEN coalesce(l.ckan_modified, '') <> '' AND l.ckan_modified = i.last_modified THEN 'unchanged' ELSE 'fetch' END AS s "
+    "FROM inventory i LEFT JOIN l ON l.resource_id = coalesce(nullif(i.resource_id, ''), i.url))"
+)
+def q_run_counters(spark: SparkSession, d: str) -> DataFrame:
+    """The counters of a harvest in which every download succeeds and brings new content."""
+    return ledger.counters(ledger.classify(table(spark, d, "inventory"), table(spark, d, "harvest")))
+
+
+@query(
+    r"SELECT resource_id, CASE WHEN url IS NULL OR url = '' THEN 'pending' ELSE regexp_replace(lower(trim(coalesce(format, ''))), '^\.+', '') || ' ' || CASE WHEN coalesce(size, 0) <> 0 THEN printf('%.1fMB', size / 1e6) ELSE '?' END "
+    r"|| CASE WHEN coalesce(feature_count, 0) <> 0 THEN ' ~' || feature_count || ' feats' ELSE '' END || ' ' || coalesce(code, '') || ' :: ' || coalesce(resource_name, '') END AS line FROM inventory"
+)
+def q_inventory_lines(spark: SparkSession, d: str) -> DataFrame:
+    """The inventory as it is shown: format, size, features, code and name of each resource."""
+    return table(spark, d, "inventory").select("resource_id", pipeline.inventory_line().alias("line"))
+
+
+@query("SELECT DISTINCT code, split_part(code, '_', 1) AS jurisdiction FROM harvest WHERE code IS NOT NULL")
+def q_jurisdiction_of_code(spark: SparkSession, d: str) -> DataFrame:
+    """The jurisdiction that each code begins with."""
+    return table(spark, d, "harvest").where("code IS NOT NULL").select("code", C.jurisdiction_of(F.col("code")).alias("jurisdiction")).distinct()
+
+
 @query(
     "WITH l AS (SELECT *, row_number() OVER (PARTITION BY resource_id ORDER BY coalesce(fetched_at, ''), sha256, local_path) AS k, lag(sha256) OVER (PARTITION BY resource_id ORDER BY coalesce(fetched_at, ''), sha256, local_path) AS p FROM harvest) "
     "SELECT resource_id, local_path, sha256, CASE WHEN p IS NULL THEN 'new' WHEN p = sha256 THEN 'skipped' ELSE 'changed' END AS status FROM l"
 )
 def q_content_history(spark: SparkSession, d: str) -> DataFrame:
     """Whether each download's content differs from the resource's download before."""
-    w = Window.partitionBy("resource_id").orderBy(F.coalesce("fetched_at", F.lit("")), "sha256", "local_path")
-    before = F.lag("sha256").over(w)
-    return table(spark, d, "harvest").select("resource_id", "local_path", "sha256", F.when(before.isNull(), "new").when(before == F.col("sha256"), "skipped").otherwise("changed").alias("status"))
+    return ledger.content_history(table(spark, d, "harvest"))
 
 
 _DATED = "SELECT * REPLACE (regexp_extract(local_path, '/([0-9]{4}-[0-9]{2}-[0-9]{2})/', 1) AS snapshot_date) FROM harvest"
@@ -283,28 +318,28 @@ def q_try_cast_filter(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "tenure_snapshot").withColumn("area", F.col("area_ha").try_cast("double")).where("area > 500").select("local_path", "row_no", "tenure_id", "area")
 
 
-@query("SELECT id, latitude, longitude FROM rag_chunk WHERE (longitude + 90) * (longitude + 90) + (latitude - 52) * (latitude - 52) <= 9")
+@query("SELECT id, latitude, longitude FROM rag_chunk WHERE (longitude + 90) * (longitude + 90) + (latitude - 52) * (latitude - 52) <= 625")
 def q_within_radius(spark: SparkSession, d: str) -> DataFrame:
-    """Chunks whose point lies within three degrees of a point."""
-    return table(spark, d, "rag_chunk").where(spatial.within(F.col("longitude"), F.col("latitude"), (-90.0, 52.0), 3.0)).select("id", "latitude", "longitude")
+    """Chunks whose point lies within twenty-five degrees of a point."""
+    return table(spark, d, "rag_chunk").where(spatial.within(F.col("longitude"), F.col("latitude"), (-90.0, 52.0), 25.0)).select("id", "latitude", "longitude")
 
 
 _POINTS = "SELECT DISTINCT id, doc_type, longitude AS x, latitude AS y FROM rag_chunk WHERE longitude IS NOT NULL AND latitude IS NOT NULL"
 
 
-@query(f"WITH p AS ({_POINTS}) SELECT a.id AS a, b.id AS b, round((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y), 9) AS d2 FROM p a JOIN p b ON (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= 0.04 WHERE a.doc_type = 'tabular_row' AND b.doc_type <> 'tabular_row'")
+@query(f"WITH p AS ({_POINTS}) SELECT a.id AS a, b.id AS b, round((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y), 9) AS d2 FROM p a JOIN p b ON (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= 4 WHERE a.doc_type = 'tabular_row' AND b.doc_type <> 'tabular_row'")
 def q_spatial_join(spark: SparkSession, d: str) -> DataFrame:
-    """Report chunks within a fifth of a degree of a single record's point."""
+    """Report chunks within two degrees of a single record's point."""
     points = table(spark, d, "rag_chunk").where("longitude IS NOT NULL AND latitude IS NOT NULL").select("id", "doc_type", F.col("longitude").alias("x"), F.col("latitude").alias("y")).distinct()
     left, right = points.where("doc_type = 'tabular_row'").select(F.col("id").alias("a"), "x", "y"), points.where("doc_type <> 'tabular_row'").select(F.col("id").alias("b"), "x", "y")
-    return spatial.distance_join(left, right, 0.2).select("a", "b", F.round("distance2", 9).alias("d2"))
+    return spatial.distance_join(left, right, 2.0).select("a", "b", F.round("distance2", 9).alias("d2"))
 
 
-@query("SELECT i.jurisdiction, count(*) AS expected, count(h.code) AS covered FROM (SELECT DISTINCT jurisdiction, code FROM inventory WHERE jurisdiction IS NOT NULL AND code IS NOT NULL) i LEFT JOIN (SELECT DISTINCT jurisdiction, code FROM harvest WHERE format IS NOT NULL AND lower(format) LIKE '%csv%') h ON h.jurisdiction = i.jurisdiction AND h.code = i.code GROUP BY 1")
+@query("SELECT i.jurisdiction, count(*) AS expected, count(h.code) AS covered, sum(h.n)::BIGINT AS resources, round_even(count(h.code) / count(*), 2) AS score FROM (SELECT DISTINCT jurisdiction, code FROM inventory WHERE jurisdiction IS NOT NULL AND code IS NOT NULL) i LEFT JOIN (SELECT jurisdiction, code, count(*) AS n FROM harvest WHERE format IS NOT NULL AND lower(format) LIKE '%csv%' GROUP BY 1, 2) h ON h.jurisdiction = i.jurisdiction AND h.code = i.code GROUP BY 1")
 def q_coverage_score(spark: SparkSession, d: str) -> DataFrame:
-    """Expected and covered codes of each jurisdiction; the score itself rounds half to even and is tested on its own."""
+    """Expected and covered codes of each jurisdiction, the resources that cover them, and the covered share."""
     expected, populated = table(spark, d, "inventory").where("jurisdiction IS NOT NULL AND code IS NOT NULL"), table(spark, d, "harvest").where("lower(format) LIKE '%csv%'")
-    return coverage.scores(expected, populated).select("jurisdiction", "expected", "covered")
+    return coverage.scores(expected, populated)
 
 
 @query("SELECT DISTINCT jurisdiction, code FROM inventory i WHERE jurisdiction IS NOT NULL AND code IS NOT NULL AND NOT EXISTS (SELECT 1 FROM harvest h WHERE h.jurisdiction = i.jurisdiction AND h.code = i.code AND lower(format) LIKE '%csv%')")
@@ -313,58 +348,62 @@ def q_coverage_gaps(spark: SparkSession, d: str) -> DataFrame:
     return coverage.gaps(table(spark, d, "inventory").where("jurisdiction IS NOT NULL AND code IS NOT NULL"), table(spark, d, "harvest").where("lower(format) LIKE '%csv%'"))
 
 
-_PAGE = r"(SELECT id, left('Submitted by: ' || coalesce(company, '') || '.' || chr(10) || coalesce(regexp_replace(chunk_text, '[^\x00-\x7F]', '', 'g'), ''), 3000) AS t FROM rag_chunk)"
-
-
-def _pages(spark: SparkSession, d: str) -> DataFrame:
-    """First pages put together from chunks, in ASCII, as the two regex dialects differ in what a letter is."""
-    rows = table(spark, d, "rag_chunk")
-    text = F.concat(F.lit("Submitted by: "), F.coalesce("company", F.lit("")), F.lit(".\n"), F.coalesce(F.regexp_replace("chunk_text", r"[^\x00-\x7F]", ""), F.lit("")))
-    return rows.select("id", F.left(text, F.lit(3000)).alias("t"))
+_TEXTS = r"(SELECT id, 'Submitted by: ' || coalesce(company, '') || '.' || chr(10) || coalesce(chunk_text, '') AS t FROM rag_chunk)"
+_PAGE = f"(SELECT id, left(t, 3000) AS t FROM {_TEXTS})"
 
 
 def _texts(spark: SparkSession, d: str) -> DataFrame:
-    """Whole texts put together from chunks, unaltered; the SQL beside the four extractors has the first pages only."""
+    """Whole texts put together from chunks, unaltered."""
     text = F.concat(F.lit("Submitted by: "), F.coalesce("company", F.lit("")), F.lit(".\n"), F.coalesce("chunk_text", F.lit("")))
     return table(spark, d, "rag_chunk").select("id", text.alias("t"))
 
 
-@query(rf"SELECT id, regexp_extract(t, '\b(\d{{2}}[A-Z](?:\/\d{{1,2}})?(?:\s*[A-Za-z]?\d{{0,2}})?)\b', 1) AS nts_sheet FROM {_PAGE}")
+def _re2(pattern: str) -> str:
+    """A pattern of the extractors for SQL, whose dialect has no flag for Unicode classes; see _ASCII."""
+    return re.sub(r"\(\?([a-zA-Z]+)\)", lambda m: "(?" + "".join(f for f in m[1] if f in "im") + ")" if set(m[1]) & set("im") else "", pattern, count=1)
+
+
+#: The text for SQL whose \\b knows ASCII only: letters and digits beyond it become underscores, other signs bars.
+_ASCII = r"regexp_replace(regexp_replace(regexp_replace(t, '[\x{A0}\x{2000}-\x{200A}\x{202F}\x{3000}]', ' ', 'g'), '[^\x00-\x7F\p{L}\p{N}\p{M}]', '|', 'g'), '[^\x00-\x7F]', '_', 'g')"
+_NTS_SQL = f"regexp_extract({_ASCII}, '{_re2(extract.NTS)}', 1)"
+
+
+@query(f"SELECT id, {_NTS_SQL} AS nts_sheet FROM {_TEXTS}")
 def q_extract_nts(spark: SparkSession, d: str) -> DataFrame:
     return _texts(spark, d).select("id", extract.nts_sheet(F.col("t")).alias("nts_sheet"))
 
 
-_COMPANY = (
-    r"list_filter(list_transform(regexp_extract_all(t, '(?im)(?:COMPANY|CLIENT|PROPERTY\s+OF|SUBMITTED\s+BY|OWNER|OPERATOR)\s*[:;]?\s*(.+?)(?:\n|$)', 1), "
-    r"lambda c: regexp_replace(regexp_replace(c, '^\s+|\s+$', '', 'g'), '\.+$', '')), lambda c: c <> '' AND length(c) < 100)"
+_COMPANY_SQL = (
+    f"coalesce(list_filter(list_transform(regexp_extract_all(t, '{_re2(extract.COMPANY)}', 1), "
+    r"lambda c: regexp_replace(regexp_replace(c, '^\s+|\s+$', '', 'g'), '\.+$', '')), lambda c: c <> '' AND length(c) < 100)[1], '')"
 )
 
 
-@query(f"SELECT id, coalesce(({_COMPANY})[1], '') AS company FROM {_PAGE}")
+@query(f"SELECT id, {_COMPANY_SQL} AS company FROM {_TEXTS}")
 def q_extract_company(spark: SparkSession, d: str) -> DataFrame:
     return _texts(spark, d).select("id", extract.company(F.col("t")).alias("company"))
 
 
-_METALS = r"(?i)\b(gold|silver|copper|zinc|lead|nickel|cobalt|lithium|uranium|molybdenum|tungsten|tin|iron|platinum|palladium|rare\s*earth|diamond|graphite|phosphate|potash|salt|manganese|vanadium|chromium|antimony|bismuth)\b"
+_METALS_SQL = f"list_sort(list_distinct(list_transform(regexp_extract_all({_ASCII}, '{_re2(extract.COMMODITIES)}', 0), lambda c: lower(c))))"
 
 
-@query(f"SELECT id, array_to_string(list_sort(list_distinct(list_transform(regexp_extract_all(t, '{_METALS}', 0), lambda c: lower(c)))), '|') AS commodities FROM {_PAGE}")
+@query(f"SELECT id, array_to_string({_METALS_SQL}, '|') AS commodities FROM {_TEXTS}")
 def q_extract_commodities(spark: SparkSession, d: str) -> DataFrame:
     return _texts(spark, d).select("id", F.array_join(extract.commodities(F.col("t")), "|").alias("commodities"))
 
 
-_KINDS = extract.REPORT_TYPE.replace("(?Ui)", "(?i)")
-_DECIDE = "CASE WHEN contains(m, 'drill') OR contains(m, 'assay') THEN 'drill' WHEN contains(m, 'geochem') THEN 'geochem' WHEN contains(m, 'geophysical') OR contains(m, 'magnetometer') OR contains(m, 'electromagnetic') THEN 'geophys' END"
+_DECIDE = "CASE " + " ".join(f"WHEN contains(m, '{key}') THEN '{kind}'" for key, kind in extract.TYPES.items()) + " END"
+_TYPE_SQL = f"coalesce(list_filter(list_transform(regexp_extract_all({_ASCII}, '{_re2(extract.REPORT_TYPE)}', 0), lambda x: list_transform([lower(x)], lambda m: {_DECIDE})[1]), lambda x: x IS NOT NULL)[1], 'assessment_report_general')"
 
 
-@query(f"SELECT id, 'assessment_report_' || coalesce(list_filter(list_transform(regexp_extract_all(t, '{_KINDS}', 0), lambda x: list_transform([lower(x)], lambda m: {_DECIDE})[1]), lambda x: x IS NOT NULL)[1], 'general') AS report_type FROM {_PAGE}")
+@query(f"SELECT id, {_TYPE_SQL} AS report_type FROM {_TEXTS}")
 def q_extract_report_type(spark: SparkSession, d: str) -> DataFrame:
     return _texts(spark, d).select("id", extract.report_type(F.col("t")).alias("report_type"))
 
 
-@query(rf"SELECT id, regexp_extract(t, '\b(\d{{2}}[A-Z](?:\/\d{{1,2}})?(?:\s*[A-Za-z]?\d{{0,2}})?)\b', 1) AS nts_sheet, coalesce(({_COMPANY})[1], '') AS company FROM {_PAGE}")
+@query(f"SELECT id, {_NTS_SQL} AS nts_sheet, {_COMPANY_SQL} AS company, array_to_string({_METALS_SQL}, '|') AS commodities, {_TYPE_SQL} AS report_type FROM {_PAGE}")
 def q_extract_metadata(spark: SparkSession, d: str) -> DataFrame:
-    return extract.metadata(_pages(spark, d), "t").select("id", "nts_sheet", "company")
+    return extract.metadata(_texts(spark, d), "t").select("id", "nts_sheet", "company", F.array_join("commodities", "|").alias("commodities"), "report_type")
 
 
 _CHUNKS = r"""
@@ -409,13 +448,20 @@ def _reports(spark: SparkSession, d: str) -> DataFrame:
     return docs.select(F.lit("ON").alias("jurisdiction"), F.col("source").alias("source_code"), F.col("doc_id").cast("string").alias("report_id"), F.lit("").alias("source_url"), "text")
 
 
-@query(_CHUNKS + "SELECT left(sha256('ON:' || coalesce(source, '') || ':' || x.doc_id || ':' || chunk_index), 32) AS id, chunk AS text, x.doc_id::VARCHAR AS report_id, chunk_index::INT AS chunk_index FROM (SELECT doc_id, chunk, min(chunk_index) AS chunk_index FROM x GROUP BY ALL) x JOIN d ON d.doc_id = x.doc_id")
+@query(
+    _CHUNKS
+    + f""", m AS (SELECT doc_id, {_NTS_SQL} AS nts_sheet, {_COMPANY_SQL} AS company, '[' || array_to_string(list_transform({_METALS_SQL}, lambda c: '"' || c || '"'), ',') || ']' AS commodity, {_TYPE_SQL} AS doc_type
+      FROM (SELECT doc_id, left(coalesce(text, ''), 3000) AS t FROM documents))
+    SELECT left(sha256('ON:' || coalesce(source, '') || ':' || x.doc_id || ':' || chunk_index), 32) AS id, chunk AS text, 'ON' AS jurisdiction, source AS source_code, x.doc_id::VARCHAR AS report_id, '' AS source_url,
+      doc_type, commodity, company, nts_sheet, chunk_index::INT AS chunk_index
+    FROM (SELECT doc_id, chunk, min(chunk_index) AS chunk_index FROM x GROUP BY ALL) x JOIN d ON d.doc_id = x.doc_id JOIN m ON m.doc_id = x.doc_id"""
+)
 def q_rag_ingest(spark: SparkSession, d: str) -> DataFrame:
     """Documents as they go into a vector collection."""
-    return chunking.ingest(_reports(spark, d)).select("id", "text", "report_id", "chunk_index")
+    return chunking.ingest(_reports(spark, d))
 
 
-@query(_CHUNKS + ", g AS (SELECT doc_id, count(DISTINCT chunk) AS n FROM x GROUP BY 1) SELECT count(*) AS total, count(*) FILTER (n > 0) AS ingested, count(*) FILTER (coalesce(n, 0) = 0) AS skipped, sum(n)::BIGINT AS chunks FROM d LEFT JOIN g USING (doc_id)")
+@query(_CHUNKS + ", g AS (SELECT doc_id, count(DISTINCT chunk) AS n FROM x GROUP BY 1) SELECT count(*) AS total, count(*) FILTER (n > 0) AS ingested, 0::BIGINT AS failed, count(*) FILTER (coalesce(n, 0) = 0) AS skipped, sum(n)::BIGINT AS chunks FROM d LEFT JOIN g USING (doc_id)")
 def q_ingest_counters(spark: SparkSession, d: str) -> DataFrame:
     """The counters of an ingestion."""
     docs = _reports(spark, d)
@@ -488,25 +534,28 @@ def q_meta_scalarize(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "rag_chunk").select("id", F.explode(C.scalar_map(values, ["tags"])).alias("k", "v"))
 
 
+_OWN = ("jurisdiction", "source_code", "doc_type", "chunk_index", "source_url", "report_id", "commodity", "company", "nts_sheet", "feature_type")
+
+
 @query(
-    "SELECT id, k, coalesce(metadata[k], v) AS v FROM (SELECT id, metadata, unnest(['jurisdiction', 'source_code', 'doc_type', 'year']) AS k, unnest([jurisdiction, source_code, doc_type, NULL]) AS v FROM rag_chunk) WHERE coalesce(metadata[k], v) IS NOT NULL"
+    f"WITH o AS (SELECT id, metadata, unnest([{', '.join(repr(k) for k in _OWN)}]) AS k, unnest([{', '.join(k + '::VARCHAR' for k in _OWN)}]) AS v FROM rag_chunk), "
+    "e AS (SELECT id, unnest(map_entries(metadata)) AS e FROM rag_chunk) "
+    "SELECT id, k, v FROM o WHERE v IS NOT NULL AND NOT coalesce(list_contains(map_keys(metadata), k), false) UNION ALL SELECT id, e.key AS k, e.value AS v FROM e WHERE e.value IS NOT NULL"
 )
 def q_to_record(spark: SparkSession, d: str) -> DataFrame:
     """Chunks as flat records; what the metadata name overrides the columns."""
-    own = F.create_map(*[x for k in ("jurisdiction", "source_code", "doc_type") for x in (F.lit(k), F.col(k))])
-    extra = F.coalesce("metadata", F.create_map().cast("map<string,string>"))
-    merged = F.map_concat(F.map_filter(own, lambda k, _: ~F.map_contains_key(extra, k)), extra)
-    rows = table(spark, d, "rag_chunk").select("id", F.explode(merged).alias("k", "v"))
-    return rows.where("v IS NOT NULL AND k IN ('jurisdiction', 'source_code', 'doc_type', 'year')")
+    own = {k: F.col(k) for k in _OWN}
+    rows = table(spark, d, "rag_chunk").select(chunking.record(F.col("id"), F.col("chunk_text"), own, F.col("metadata")).alias("r"))
+    return rows.select("r.id", F.explode("r.metadata").alias("k", "v"))
 
 
 @query("SELECT doc_id, sha256(text) AS sha256, strlen(text) AS size_bytes FROM documents")
 def q_content_hash(spark: SparkSession, d: str) -> DataFrame:
     """Hash and size of contents, as the ledger keeps them."""
-    return table(spark, d, "documents").select("doc_id", F.sha2("text", 256).alias("sha256"), F.octet_length("text").cast("long").alias("size_bytes"))
+    return table(spark, d, "documents").select("doc_id", C.content_hash(F.col("text")).alias("h")).select("doc_id", "h.*")
 
 
 @query("SELECT event_type, date_trunc('hour', ts) AS hour, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL")
 def q_events_hourly(spark: SparkSession, d: str) -> DataFrame:
     """Hourly sums of events, the batch form of the streaming refresh's counters."""
-    return table(spark, d, "events").groupBy("event_type", F.date_trunc("hour", "ts").alias("hour")).agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"))
+    return refresh.hourly(table(spark, d, "events")).select("event_type", F.col("window.start").alias("hour"), "n", F.round("total", 4).alias("total"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata import session
@@ -26,13 +26,24 @@ def catalog_inventory(packages: DataFrame, jurisdiction: str, portal: str, match
     )
 
 
-def discover(spark: SparkSession, jurisdictions: list[str] | None = None, sources: list[dict] | None = None) -> DataFrame:
-    """The inventory of all declared sources, or of the named jurisdictions only; sources are pruned before any request."""
+def inventory_line() -> Column:
+    """An inventory row as it is shown."""
+    features = F.when(F.coalesce("feature_count", F.lit(0)) != 0, F.concat(F.lit(" ~"), F.col("feature_count").cast("string"), F.lit(" feats"))).otherwise("")
+    text = lambda c: F.coalesce(F.col(c), F.lit(""))
+    line = F.concat(C.format_norm("format"), F.lit(" "), C.megabytes(F.col("size")), features, F.lit(" "), text("code"), F.lit(" :: "), text("resource_name"))
+    return F.when(ledger.downloadable(), line).otherwise("pending")
+
+
+def discover(spark: SparkSession, jurisdictions: list[str] | None = None, sources: list[dict] | None = None, counts: bool = True) -> DataFrame:
+    """The inventory of all declared sources, or of the named jurisdictions only; sources are pruned before any request.
+
+    With `counts` the servers of declared layers are asked for their features.
+    """
     spark.dataSource.register(portals.CatalogSource)
     wanted = {j.upper() for j in jurisdictions or []}
     own = [s for s in (registry.SOURCES if sources is None else sources) if not wanted or s["jurisdiction"] in wanted]
     rows = registry.registry(spark, own)
-    out = registry.arcgis_inventory(rows).unionByName(registry.scrape_inventory(rows))
+    out = registry.arcgis_inventory(rows, counts).unionByName(registry.scrape_inventory(rows))
     for s in own:
         if s["type"] == "ckan":
             packages = spark.read.format("portal_catalog").option("base", s["portal"]).option("fq", s.get("fq", "")).load()

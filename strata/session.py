@@ -12,11 +12,15 @@ DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.python.filterPushdown.enabled": "true",
     "spark.ui.showConsoleProgress": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
 def build(app: str = "strata", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with DEFAULTS; keyword arguments use '__' for the dots of a setting's name."""
+    """A session with DEFAULTS; keyword arguments use '__' for the dots of a setting's name.
+
+    On a cluster name the shared folder for cut lineage, as spark__checkpoint__dir or in the cluster's own settings.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)

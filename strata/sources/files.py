@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.functions.columns import content_hash
+
 FEATURES = "path string, layer string, properties map<string,string>, geometry string, lon double, lat double"
 
 
@@ -26,7 +28,7 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 def contents(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """(path, content, size_bytes, sha256) of the files of a folder and those below it."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path)
-    return files.select("path", "content", F.col("length").alias("size_bytes"), F.sha2("content", 256).alias("sha256"))
+    return files.select("path", "content", content_hash(F.col("content")).alias("h")).select("path", "content", "h.size_bytes", "h.sha256")
 
 
 def expand_archives(files: DataFrame) -> DataFrame:

@@ -1,7 +1,8 @@
 """Portal connectors as Python data sources: paged catalog search and paged feature layers.
 
-Both read one page in a task. `base` is the portal's address, or a folder of canned pages (page-<start>.json), which is how
-tests run without a network. A page that fails raises, so that a source is never read in part without notice.
+`base` is the portal's address, or a folder of canned pages (page-<start>.json), which is how tests run without a network.
+Requests to one portal keep GAP seconds between them, so a portal is read in one task unless the option `tasks` allows more;
+portals are read beside each other. A page that fails raises, so that a source is never read in part without notice.
 """
 
 from __future__ import annotations
@@ -30,9 +31,19 @@ def _get(base: str, query: dict, start: int) -> dict:
         return json.load(answer)
 
 
-class _Page(InputPartition):
-    def __init__(self, start: int) -> None:
-        self.start = start
+class _Range(InputPartition):
+    """Rows start to end of a source; end None: to the last."""
+
+    def __init__(self, start: int, end: int | None) -> None:
+        self.start, self.end = start, end
+
+
+def _ranges(count: int | None, page: int, tasks: int) -> list[_Range]:
+    """At most `tasks` ranges of whole pages; the last has no end, as the count may be too low by now."""
+    pages = max(1, -(-(count or 0) // page)) if count is not None else 1
+    step = -(-pages // max(1, tasks)) * page
+    starts = list(range(0, pages * page, step))
+    return [_Range(s, e) for s, e in zip(starts, [*starts[1:], None])]
 
 
 class CatalogSource(DataSource):
@@ -51,7 +62,7 @@ class CatalogSource(DataSource):
 
 class CatalogReader(DataSourceReader):
     def __init__(self, options: dict) -> None:
-        self.base, self.fq, self.rows = options["base"], options.get("fq", ""), int(options.get("rows", CATALOG_PAGE))
+        self.base, self.fq, self.rows, self.tasks = options["base"], options.get("fq", ""), int(options.get("rows", CATALOG_PAGE)), int(options.get("tasks", 1))
         self.url = self.base if os.path.isdir(self.base) else self.base.rstrip("/") + "/api/3/action/package_search"
 
     def _page(self, start: int) -> dict:
@@ -60,17 +71,24 @@ class CatalogReader(DataSourceReader):
             raise RuntimeError(f"{self.url}: the portal reports a failure at {start}")
         return page.get("result", {"count": 0, "results": []})
 
-    def partitions(self) -> list[_Page]:
-        count = int(self._page(0).get("count", 0))
-        return [_Page(s) for s in range(0, max(count, 1), self.rows)]
-
-    def read(self, partition: _Page) -> Iterator[tuple]:
-        for p in self._page(partition.start).get("results", []):
-            resources = []
-            for r in p.get("resources") or []:
-                size = r.get("size")
-                resources.append((r.get("id"), r.get("name"), r.get("format"), r.get("url"), r.get("last_modified"), r.get("created"), int(size) if str(size or "").isdigit() else None))
-            yield p.get("title"), p.get("name"), p.get("license_title"), resources
+    def partitions(self) -> list[_Range]:
+        return _ranges(int(self._page(0).get("count", 0)) if self.tasks > 1 else None, self.rows, self.tasks)
+
+    def read(self, partition: _Range) -> Iterator[tuple]:
+        """The packages of a range; the next page starts after the rows received, as portals may give less than asked for."""
+        at = partition.start
+        while partition.end is None or at < partition.end:
+            page = self._page(at)
+            results = page.get("results") or []
+            for p in results[: None if partition.end is None else partition.end - at]:
+                resources = []
+                for r in p.get("resources") or []:
+                    size = r.get("size")
+                    resources.append((r.get("id"), r.get("name"), r.get("format"), r.get("url"), r.get("last_modified"), r.get("created"), int(size) if str(size or "").isdigit() else None))
+                yield p.get("title"), p.get("name"), p.get("license_title"), resources
+            at += len(results)
+            if not results or at >= int(page.get("count", 0)):
+                return
 
 
 class LayerSource(DataSource):
@@ -92,7 +110,7 @@ class LayerSource(DataSource):
 
 class LayerReader(DataSourceReader):
     def __init__(self, options: dict) -> None:
-        self.base, self.page = options["base"], int(options.get("rows", LAYER_PAGE))
+        self.base, self.page, self.tasks = options["base"], int(options.get("rows", LAYER_PAGE)), int(options.get("tasks", 1))
         self.url = self.base if os.path.isdir(self.base) else self.base.rstrip("/") + "/query"
 
     def _features(self, start: int) -> list[dict]:
@@ -108,17 +126,18 @@ class LayerReader(DataSourceReader):
         except (OSError, KeyError, ValueError):
             return None
 
-    def partitions(self) -> list[_Page]:
-        count = self.count()
-        return [_Page(s) for s in range(0, max(count, 1), self.page)] if count is not None else [_Page(-1)]
+    def partitions(self) -> list[_Range]:
+        return _ranges(self.count() if self.tasks > 1 else None, self.page, self.tasks)
 
-    def read(self, partition: _Page) -> Iterator[tuple]:
-        whole, at = partition.start < 0, max(partition.start, 0)
-        end = float("inf") if whole else at + self.page
-        while at < end:
-            features = self._features(at)
-            if not features:
+    def features(self, start: int = 0, end: int | None = None) -> Iterator[dict]:
+        """The layer's features as the server gives them."""
+        while end is None or start < end:
+            page = self._features(start)
+            if not page:
                 return
-            for f in features[: None if whole else int(end - at)]:
-                yield {k: None if v is None else v if isinstance(v, str) else json.dumps(v) for k, v in (f.get("properties") or {}).items()}, json.dumps(f.get("geometry"))
-            at += len(features)
+            yield from page[: None if end is None else end - start]
+            start += len(page)
+
+    def read(self, partition: _Range) -> Iterator[tuple]:
+        for f in self.features(partition.start, partition.end):
+            yield {k: None if v is None else v if isinstance(v, str) else json.dumps(v) for k, v in (f.get("properties") or {}).items()}, json.dumps(f.get("geometry"))

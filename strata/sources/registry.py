@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+from dataclasses import dataclass
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.sources.portals import LayerReader
+
 SCHEMA = (
     "position int, jurisdiction string, key string, type string, portal string, fq string, code string, "
     "match array<struct<code:string,needles:array<string>>>, layers map<string,string>, items map<string,string>"
@@ -55,13 +61,23 @@ def _inventory(df: DataFrame, **values) -> DataFrame:  # noqa: ANN003
     return df.select(*[(values[c] if c in values else F.lit(None)).cast(kinds.get(c, "string")).alias(c) for c in INVENTORY])
 
 
-def arcgis_inventory(sources: DataFrame) -> DataFrame:
-    """One inventory row for each declared layer and hub item; counts are filled in by arcgis.py where a server answers."""
+def feature_count(url: str) -> Column:
+    """The number of features that the server of each layer tells; null if it doesn't."""
+
+    @F.pandas_udf("int")
+    def counted(urls: pd.Series) -> pd.Series:
+        return pd.Series([LayerReader({"base": u}).count() if u else None for u in urls], dtype="Int32")
+
+    return counted(url)
+
+
+def arcgis_inventory(sources: DataFrame, counts: bool = False) -> DataFrame:
+    """One inventory row for each declared layer and hub item; with `counts` the servers are asked for the features of their layers."""
     own = sources.where("type = 'arcgis'")
     layers = own.select("jurisdiction", "portal", F.explode("layers").alias("c", "u"))
     base = F.regexp_replace("portal", "/+$", "")
     items = own.select("jurisdiction", "portal", F.explode("items").alias("c", "i"))
-    a = _inventory(layers, jurisdiction=F.col("jurisdiction"), connector=F.lit("arcgis_layer"), code=F.col("c"), dataset=F.col("c"), resource_id=F.col("c"), resource_name=F.col("c"), format=F.lit("geojson"), url=F.col("u"), last_modified=F.lit(""), portal=F.col("portal"))
+    a = _inventory(layers, jurisdiction=F.col("jurisdiction"), connector=F.lit("arcgis_layer"), code=F.col("c"), dataset=F.col("c"), resource_id=F.col("c"), resource_name=F.col("c"), format=F.lit("geojson"), url=F.col("u"), last_modified=F.lit(""), portal=F.col("portal"), feature_count=feature_count("u") if counts else F.lit(None))
     url = F.concat(base, F.lit("/api/download/v1/items/"), F.col("i"), F.lit("/geojson?layers=1"))
     b = _inventory(items, jurisdiction=F.col("jurisdiction"), connector=F.lit("arcgis_hub"), code=F.col("c"), dataset=F.col("c"), resource_id=F.col("i"), resource_name=F.col("c"), format=F.lit("geojson"), url=url, last_modified=F.lit(""), portal=F.col("portal"))
     return a.unionByName(b)
@@ -73,7 +89,37 @@ def scrape_inventory(sources: DataFrame) -> DataFrame:
     return _inventory(own, jurisdiction=F.col("jurisdiction"), connector=F.lit("scrape"), code=F.col("code"), dataset=F.col("code"), resource_id=F.col("code"), format=F.lit("pdf"), portal=F.col("portal"), note=F.lit("needs a scraper"))
 
 
-def pending_scrapers(sources: DataFrame, implemented: list[str]) -> DataFrame:
-    """Codes of scrape sources that no implementation serves."""
-    have = sources.sparkSession.createDataFrame([(c,) for c in implemented], "code string")
-    return sources.where("type = 'scrape'").select("jurisdiction", "code").join(have, "code", "left_anti")
+def unserved(codes: DataFrame, served: DataFrame) -> DataFrame:
+    """(code): the different codes of which `served` has none; null codes are none."""
+    return codes.where("code IS NOT NULL").select("code").distinct().join(served.select("code"), "code", "left_anti")
+
+
+@dataclass
+class Scraper:
+    """A source of reports without a catalog: `enumerate_ids` names its reports, `pdf_url` gives the address of one."""
+
+    code: str
+    enumerate_ids: Callable[[], list[str]] | None = None
+    pdf_url: Callable[[str], str] | None = None
+
+    def ready(self) -> bool:
+        return callable(self.enumerate_ids) and callable(self.pdf_url)
+
+
+def pending_scrapers(sources: DataFrame, scrapers: list[Scraper]) -> DataFrame:
+    """(code): scrape sources that no scraper serves which has both its functions."""
+    ready = sources.sparkSession.createDataFrame([(s.code,) for s in scrapers if s.ready()], "code string")
+    return unserved(sources.where("type = 'scrape'"), ready)
+
+
+def scraped_reports(spark: SparkSession, scraper: Scraper) -> DataFrame:
+    """(report_id, url) of all reports of a scraper; addresses are made on the executors. A scraper that isn't ready has none."""
+    if not scraper.ready():
+        return spark.createDataFrame([], "report_id string, url string")
+    address = scraper.pdf_url
+
+    @F.pandas_udf("string")
+    def url(ids: pd.Series) -> pd.Series:
+        return ids.map(address)
+
+    return spark.createDataFrame([(str(i),) for i in scraper.enumerate_ids()], "report_id string").distinct().select("report_id", url("report_id").alias("url"))

@@ -25,16 +25,25 @@ def falsy(c: Column | str, *others: Column | str) -> Column:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Uses the folder named in spark.checkpoint.dir; sets a local one only where none is named, as in tests."""
+    """Uses the folder named in spark.checkpoint.dir. Where none is named a local one is made, if the session runs on this machine only.
+
+    On a cluster that raises: executors would write where no other machine can read.
+    """
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isDefined():
         return
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+    if not named and not sc.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all machines of the cluster share")
     sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="strata-checkpoint-"))
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """The rows written to the shared checkpoint folder and read from there: later steps don't compute them again."""
+    """The rows written to the shared checkpoint folder and read from there: later steps don't compute them again.
+
+    Runs at once: an operator that says it cuts runs jobs when it is called. Files go when the session's settings have
+    spark.cleaner.referenceTracking.cleanCheckpoints and nothing refers to the rows any more.
+    """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
@@ -51,6 +60,30 @@ def salted_join(rows: DataFrame, few: DataFrame, keys: list[str], how: str = "in
     return left.join(right, [*keys, salt], how).drop(salt)
 
 
+def sized_join(rows: DataFrame, few: DataFrame, keys: list[str], how: str = "inner", spread: Column | None = None, most: int = 100_000) -> DataFrame:
+    """salted_join, but `few` is counted first and broadcast if it has at most `most` rows: then `rows` aren't moved at all."""
+    few = cut(few)
+    if few.limit(most + 1).count() <= most:
+        return rows.join(F.broadcast(few), keys, how)
+    return salted_join(rows, few, keys, how, spread=spread)
+
+
+def previous(df: DataFrame, keys: list[str], order: list[Column], value: Column, block: Column, out: str) -> DataFrame:
+    """Adds `out`: the value of the row before among the same keys along `order`, without a single task for a hot key.
+
+    `block` must not decrease along `order` within the keys; a block is the unit of one task. Blocks pass their last value
+    on in a small table. Null keys are a key; `order` must tell all rows of a block apart for a defined result.
+    """
+    b, v, before, at = "__block", "__value", "__before", "__order"
+    rows = df.withColumn(b, block).withColumn(v, F.struct(value.alias("v"))).withColumn(at, F.struct(*order))
+    ends = rows.groupBy(*keys, b).agg(F.max_by(v, at).alias("__last"))
+    ends = ends.select(*keys, b, F.lag("__last").over(Window.partitionBy(*keys).orderBy(b)).alias(before))
+    on = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in [*keys, b]]
+    joined = rows.alias("l").join(ends.alias("r"), on, "left").select("l.*", F.col(f"r.{before}").alias(before))
+    inside = F.lag(v).over(Window.partitionBy(*keys, b).orderBy(at))
+    return joined.withColumn(out, F.coalesce(inside, F.col(before))["v"]).drop(b, v, before, at)
+
+
 def hashable(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
 

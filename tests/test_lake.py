@@ -78,6 +78,63 @@ def test_coverage_rounds_half_to_even(spark):
     assert float(got.score) == round(1 / 8, 2) and coverage.gaps(e, e.limit(1)).count() == 7
 
 
+def test_content_history_in_blocks(spark):
+    import random
+
+    rnd, rows, want = random.Random(3), [], set()
+    for r in ("a", "b", None):
+        had = None
+        for k in range(60):
+            sha = rnd.choice("AB")
+            time = f"2024-01-{k // 7 + 1:02d}T{k:02d}"
+            rows.append((r, f"p{k}", sha, time))
+            want.add((r, f"p{k}", "new" if had is None else "skipped" if had == sha else "changed"))
+            had = sha
+    got = ledger.content_history(spark.createDataFrame(rows, "resource_id string, local_path string, sha256 string, fetched_at string"))
+    assert {(x.resource_id, x.local_path, x.status) for x in got.collect()} == want
+    assert ledger.content_history(spark.createDataFrame([], LEDGER)).count() == 0
+
+
+def test_sized_join(spark):
+    from strata.util import sized_join
+
+    rows = spark.createDataFrame([("h" if i % 3 else f"k{i}", i) for i in range(300)], "k string, i int")
+    few = spark.createDataFrame([("h", 1), ("k0", 2), ("x", 3)], "k string, v int")
+    for most in (10, 2):
+        assert sized_join(rows, few, ["k"], most=most).count() == 201 and sized_join(rows, few, ["k"], "left", most=most).count() == 300
+
+
+def test_records_and_counters(spark):
+    rows = spark.createDataFrame([("1", "t", "ON", None, {"j": "QC", "x": None}), ("2", None, "BC", 3, None)], "id string, text string, j string, n int, m map<string,string>")
+    got = {r.r.id: r.r.metadata for r in rows.select(chunking.record(F.col("id"), F.col("text"), {"j": F.col("j"), "n": F.col("n")}, F.col("m")).alias("r")).collect()}
+    assert got == {"1": {"j": "QC"}, "2": {"j": "BC", "n": "3"}}
+    docs = spark.createDataFrame([("a", "gold " * 100, False), ("b", None, True), ("c", None, False)], "report_id string, text string, bad boolean")
+    docs = docs.selectExpr("'ON' AS jurisdiction", "'S' AS source_code", "report_id", "'' AS source_url", "text", "bad", "map('company', 'Given') AS meta")
+    made = chunking.ingest(docs, metadata="meta")
+    assert {r.company for r in made.collect()} == {"Given"}
+    assert tuple(chunking.counters(docs, made, failed=F.col("bad")).head()) == (3, 1, 1, 1, 1)
+    assert tuple(chunking.counters(docs, None).head()) == (3, 3, 0, 0, 0)
+    with pytest.raises(ValueError):
+        chunking.chunks(F.col("text"), most=1500)
+    lost = {r.report_id: (r.characters, r.kept) for r in chunking.lost_characters(docs, ["report_id"]).collect()}
+    assert lost == {"a": (400, 400), "b": (0, 0), "c": (0, 0)}
+
+
+def test_checkpoints_need_a_shared_folder_on_a_cluster(spark, monkeypatch):
+    from strata import util
+
+    class Context:
+        master = "spark://host:7077"
+        _jsc = type("J", (), {"sc": lambda self: type("S", (), {"getCheckpointDir": lambda self: type("O", (), {"isDefined": lambda self: False})()})()})()
+
+        def getConf(self):  # noqa: N802
+            return {}
+
+    session = type("Session", (), {"sparkContext": Context(), "conf": {}})()
+    with pytest.raises(ValueError, match="shared?"):
+        util.ensure_checkpoint_dir(session)
+
+
 def test_bm25(spark):
     docs = spark.createDataFrame([(1, "gold gold vein"), (2, "silver"), (3, None), (4, "Gold in the vein of the rock")], "id int, text string")
     assert [r.id for r in search.bm25(docs, "GOLD", ["id"]).collect()] == [1, 4] and search.bm25(docs, "", ["id"]).count() == 0
@@ -120,7 +177,9 @@ def test_skew_helpers(spark):
 def test_registry_and_discovery(spark, tmp_path):
     reg = registry.registry(spark)
     assert reg.count() == 15 and registry.scrape_inventory(reg).count() == 9 and registry.arcgis_inventory(reg).count() == 2
-    assert registry.pending_scrapers(reg, ["NTGS"]).count() == 8
+    ready = registry.Scraper("NTGS", lambda: ["1", "2", "2"], lambda i: f"u/{i}")
+    assert registry.pending_scrapers(reg, [ready, registry.Scraper("AB_AGS")]).count() == 8
+    assert {tuple(r) for r in registry.scraped_reports(spark, ready).collect()} == {("1", "u/1"), ("2", "u/2")} and registry.scraped_reports(spark, registry.Scraper("AB_AGS")).count() == 0
     pages = [{"success": True, "result": {"count": 150, "results": [{"title": "Drill Hole data", "name": "n", "resources": [{"id": "1", "name": "", "format": ".CSV", "url": "u", "size": 5}]}, {"title": "Other", "resources": [{"id": "2"}]}]}}, {"success": True, "result": {"count": 150, "results": [{"title": "", "name": "drill hole", "resources": []}]}}]
     for start, page in zip((0, 100), pages):
         (tmp_path / f"page-{start}.json").write_text(json.dumps(page))
@@ -129,6 +188,23 @@ def test_registry_and_discovery(spark, tmp_path):
     assert [(r.code, r.resource_name, r.format, r.url) for r in got] == [("HOLES", "Drill Hole data", "csv", "u")]
 
 
+def test_portal_that_gives_less_than_asked_for(spark, tmp_path):
+    spark.dataSource.register(portals.CatalogSource)
+    for start in range(0, 7, 2):
+        page = {"success": True, "result": {"count": 7, "results": [{"title": f"t{k}", "resources": []} for k in range(start, min(start + 2, 7))]}}
+        (tmp_path / f"page-{start}.json").write_text(json.dumps(page))
+    for options in ({}, {"rows": "4", "tasks": "2"}, {"rows": "2", "tasks": "9"}):
+        got = spark.read.format("portal_catalog").option("base", str(tmp_path)).options(**options).load()
+        assert sorted(r.title for r in got.collect()) == [f"t{k}" for k in range(7)]
+
+
+def test_layer_counts_in_the_inventory(spark, tmp_path):
+    (tmp_path / "count.json").write_text('{"count": 5}')
+    src = [{"jurisdiction": "SK", "key": "a", "type": "arcgis", "portal": "p/", "layers": {"L": str(tmp_path), "M": str(tmp_path / "none")}, "items": {"I": "7"}}]
+    got = {r.code: (r.feature_count, r.url) for r in pipeline.discover(spark, None, src).collect()}
+    assert got == {"L": (5, str(tmp_path)), "M": (None, str(tmp_path / "none")), "I": (None, "p/api/download/v1/items/7/geojson?layers=1")}
+
+
 def test_feature_layer_with_short_pages(spark, tmp_path):
     make = lambda a, b: json.dumps({"features": [{"type": "Feature", "properties": {"i": i}, "geometry": None} for i in range(a, b)]})
     for start, text in ((0, make(0, 2)), (2, make(2, 4)), (4, make(4, 5))):
@@ -137,6 +213,7 @@ def test_feature_layer_with_short_pages(spark, tmp_path):
     assert spark.read.format("feature_layer").option("base", str(tmp_path)).load().count() == 5
     (tmp_path / "count.json").write_text('{"count": 5}')
     assert spark.read.format("feature_layer").option("base", str(tmp_path)).option("rows", "2").load().count() == 5
+    assert spark.read.format("feature_layer").option("base", str(tmp_path)).options(rows="2", tasks="3").load().count() == 5
 
 
 KML = '<kml xmlns="http://www.opengis.net/kml/2.2"><Document><Placemark><name>A</name><Point><coordinates>-80.5,48.25,0</coordinates></Point></Placemark></Document></kml>'
