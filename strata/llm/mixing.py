@@ -15,7 +15,6 @@ from strata.util import cut
 PARTS = 64
 #: Newton iterations end when every source's tokens are this close to its target, as a share of the target.
 CLOSE = 1e-7
-ROUNDS = 60
 
 
 def solve(cells: DataFrame, goals: list[dict]) -> list[dict]:
@@ -25,16 +24,14 @@ def solve(cells: DataFrame, goals: list[dict]) -> list[dict]:
     which is the rate nearest in relative entropy to one copy of every document that meets the constraint
     sum(rate * t) = target. The dual, sum over documents of the integral of rate * t less tilt * target, has that
     constraint as its derivative; each round is one aggregation over the cells for all goals at once, and steps that leave
-    the bracket found so far are halved into it. Goals that need all documents at their cap have no finite tilt: null.
+    the bracket found so far are halved into it. Rounds go on until every goal is met, or its bracket is two neighbouring
+    numbers. Goals that need all documents at their cap have no finite tilt: null.
     """
     spark = cells.sparkSession
     open_goals = [g for g in goals if g["tilt"] is not None]
     for g in open_goals:
         g.update(low=-math.inf, high=math.inf, done=False)
-    for _ in range(ROUNDS):
-        now = [g for g in open_goals if not g["done"]]
-        if not now:
-            break
+    while now := [g for g in open_goals if not g["done"]]:
         at = spark.createDataFrame([(g["goal"], g["source"], g["tilt"], float(g["repeats"]), g["mean"]) for g in now], "goal int, source string, tilt double, repeats double, mean double")
         t = F.col("n_tokens").cast("double")
         raw = F.exp(F.least(F.col("tilt") * t / F.col("mean"), F.lit(700.0)))
@@ -53,6 +50,7 @@ def solve(cells: DataFrame, goals: list[dict]) -> list[dict]:
             if not g["low"] < step < g["high"]:
                 ends = (g["low"], g["high"])
                 step = sum(ends) / 2 if all(map(math.isfinite, ends)) else (g["low"] + 1 + abs(g["low"]) if math.isfinite(g["low"]) else g["high"] - 1 - abs(g["high"]))
+            g["done"] = step in (g["low"], g["high"])  # no number lies between
             g["tilt"] = step
     return goals
 
@@ -83,8 +81,11 @@ def mix(documents: DataFrame, targets: DataFrame, vocabulary: str = VOCABULARY)
         held = have.get(r["source"])
         ok = held is not None and (r["target_share"] or 0) > 0 and (r["max_repeats"] or 0) > 0
         goals.append({"goal": k, "mix_id": r["mix_id"], "source": r["source"], "share": r["target_share"], "repeats": r["max_repeats"], "held": held["tokens"] if held else 0, "docs": held["n"] if held else 0, "ok": ok, "target": 0.0, "tilt": None, "mean": 1.0})
-    for mix_id in {g["mix_id"] for g in goals}:
-        own = [g for g in goals if g["mix_id"] == mix_id and g["ok"]]
+    by_mix: dict = {}
+    for g in goals:
+        if g["ok"]:
+            by_mix.setdefault(g["mix_id"], []).append(g)
+    for own in by_mix.values():
         shares = sum(g["share"] for g in own)
         size = min((g["repeats"] * g["held"] * shares / g["share"] for g in own), default=0.0)
         for g in own:

@@ -81,6 +81,8 @@ def test_assign():
     load = np.bincount(at, sizes)
     assert load.max() <= 100 and (at >= 0).all() and len(load) <= 1.06 * sizes.sum() / 100 + 1
     assert len(packing.assign(np.array([], dtype=int), 10)) == 0
+    cost = np.bincount(at, sizes + packing.QUADRATIC * sizes.astype(float) ** 2)
+    assert cost[:-2].std() < 0.05 * cost.mean()
 
 
 def test_pack(spark):
@@ -97,10 +99,20 @@ def test_pack(spark):
             assert list(c.start_at) == [0, *c.n_tokens.cumsum()[:-1]]
         once = own[own.groupby("doc_id").part_no.transform("max") == 0]
         assert (once.token_from == 0).all() and (own[own.n_tokens < cap].groupby(["doc_id", "token_from"]).size() <= 2).all()
+    again = packing.pack(d.repartition(7), spec, shard=20).toPandas()
+    assert sorted(map(str, got.itertuples(index=False))) == sorted(map(str, again.itertuples(index=False)))
     assert packing.pack(d.limit(0), spec).count() == 0
     assert all(r.fill > 0.8 for r in packing.fill(packing.pack(d, spec)).collect())
 
 
+def test_solve_ends_where_no_number_is_near(spark):
+    """Rates jump past a target where all documents of a source are of one length: the bracket closes, and no round is the last by count."""
+    cells = spark.createDataFrame([("a", 10, 0, 7), ("b", 1, 0, 3), ("b", 400, 0, 2)], "source string, n_tokens int, part int, n long")
+    goals = [{"goal": k, "source": s, "tilt": 0.0, "repeats": r, "mean": m, "target": t} for k, (s, r, m, t) in enumerate([("a", 3, 10.0, 123.456), ("b", 2, 160.6, 801.0), ("b", 5, 160.6, 0.5)])]
+    for g in mixing.solve(cells, goals):
+        assert g["done"] and abs(g["tilt"]) < 1e6
+
+
 def test_mix(spark):
     rnd = random.Random(4)
     rows = [(k, "gold vein " * rnd.randrange(1, 30), rnd.choice("aaaaabbc"), None) for k in range(900)] + [(1, None, "a", None), (2, "x", None, None)]
