@@ -51,6 +51,36 @@ def test_split_boundaries_and_repeats(spark):
     assert splitting.split_oversized(chunks.limit(0), limits).count() == 0 and splitting.oversized(chunks.limit(0), limits).count() == 0
 
 
+def test_boundary_is_the_weakest_cut(spark):
+    import re
+
+    rnd = random.Random(12)
+    make = lambda: "".join(rnd.choice(["abc ", "de. ", "\n\n", "x" * rnd.randrange(1, 14), "\n" + " " * 30 + "\n", "! ", "\n", "   ", "é? "]) for _ in range(rnd.randrange(5, 40)))
+    rows = [(f"i{k}", make(), "d", None, None, None, None) for k in range(400)]
+    chunks, limits = spark.createDataFrame(rows, CHUNK), spark.createDataFrame([("d", 12, 3)], "doc_type string, max_chars int, overlap_chars int")
+
+    def level(t):
+        paragraphs = [p.strip() for p in re.split(r"\n\s*\n", t)]
+        sentences = [x.strip() for p in paragraphs for x in re.split(r"(?<=[.!?])\s+", p)]
+        fits = lambda units: max(map(len, units), default=0) <= 12
+        return "paragraph" if fits(paragraphs) else "sentence" if fits(sentences) else "word" if fits(t.split()) else "none"
+
+    got = dict(map(tuple, splitting.oversized(chunks, limits).collect()))
+    assert got == {i: level(t) for i, t, *_ in rows if len(t) > 12} and len(set(got.values())) == 4
+    pieces = splitting.split_oversized(chunks, limits).collect()
+    for i, t, *_ in rows:
+        mine = [r.text for r in sorted((r for r in pieces if r.id == i), key=lambda r: r.piece_no)]
+        assert all(len(p) <= 12 for p in mine) and rebuild(mine, 3) == t
+
+
+def test_rows_without_index_and_exact_repeats(spark):
+    rows = [(f"n{k}", "y" * 50, "d", "r", None, "1", None) for k in range(40)] + [("a", "one. two", "d", "r", 1, "1", None)] * 3 + [(None, "lone", "d", None, None, None, None)] * 2
+    limits = spark.createDataFrame([("d", 40, None)], "doc_type string, max_chars int, overlap_chars int")
+    got = splitting.split_oversized(spark.createDataFrame(rows, CHUNK), limits).collect()
+    mine = sorted((r.chunk_index, r.id) for r in got if r.report_id == "r")
+    assert [k for k, _ in mine] == list(range(81)) and mine[0][1] == "a" and [r.text for r in got if r.id is None] == ["lone"]
+
+
 # Tokens, packing, mixing
 
 
