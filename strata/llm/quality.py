@@ -14,8 +14,18 @@ from strata.util import cut
 STATS = ("words", "word_length", "symbol_ratio", "digit_ratio", "punctuated_lines", "common_share", "item_share", "row_share", "lone_share", "repeat_share", "residue_share")
 #: Ranks at which the sketches are read; a percentile is found among these.
 RANKS = tuple(k / 100 for k in range(101))
-#: A language that no common word tells.
+#: A language that no common word tells; its documents are held against those of all languages together.
 UNKNOWN = "und"
+#: Documents of a language from which on its own distribution is one.
+FEW = 30
+#: Statistics of which the lower tail is far from prose; of the others it is the upper one.
+LOW = ("common_share", "punctuated_lines")
+#: The least spread of each statistic that counts, where a language's documents are more alike than that: texts of a few lines
+#: differ by so much through chance.
+SPREAD = {
+    "words": 50.0, "word_length": 2.5, "symbol_ratio": 0.04, "digit_ratio": 0.1, "punctuated_lines": 0.285, "common_share": 0.02, "item_share": 0.085, "row_share": 0.085, "lone_share": 0.1, "repeat_share": 0.2,
+    "residue_share": 0.036,
+}
 
 #: Rows of columns: tabs, bars, semicolons, wide gaps, commas without blanks, or nothing but numbers.
 ROW = (
@@ -29,7 +39,8 @@ ITEM = (
 )
 #: What a reader can't read: code of page descriptions, markup, text decoded with the wrong code page.
 RESIDUE = r"\b(?:Tf|Td|Tj|TJ|BT|ET)\b|Ã.|â€|Â[^\s\w]|\ufffd|[─-▟]+|</?\w+[^>]{0,40}>"
-#: Of these one stands in every match of RESIDUE; a plain search is far cheaper than the pattern.
+_boxes = re.compile(r"[─-▟]").search
+#: Of these, or the boxes, one stands in every match of RESIDUE; a plain search is far cheaper than the pattern.
 _HINTS = ("Tf", "Td", "Tj", "TJ", "BT", "ET", "Ã", "â€", "Â", "\ufffd", "<")
 _row, _item, _residue, _odd_chars = re.compile(ROW).match, re.compile(ITEM).match, re.compile(RESIDUE).findall, re.compile(r"[^\x00-\x7f\w\s]").findall
 _digits = b"0123456789"
@@ -55,7 +66,7 @@ def measure(t: str, lists: list[frozenset]) -> tuple:
         if ("\t" in x or "|" in x or "  " in x or x.count(";") > 1 or x.count(",") > 1 or end.isdigit()) and _row(x):
             rows += n
     lone = sum([w != w.upper() for w in low if len(w) < 3])
-    residue = len(_residue(t)) if any([h in t for h in _HINTS]) else 0
+    residue = len(_residue(t)) if any([h in t for h in _HINTS]) or len(raw) != len(t) and _boxes(t) else 0
     found = [sum(map(words_of.__contains__, low)) for words_of in lists]
     best = max(found, default=0)
     return (len(words), sum(map(len, words)), symbols, len(raw) - len(raw.translate(None, _digits)), ended, items, rows, held, len(lines), lone, len(lines) - len(set(lines)), residue, best, found.index(best) if best else -1)
@@ -100,22 +111,31 @@ def statistics(documents: DataFrame, common: DataFrame) -> DataFrame:
 
 
 def distributions(stats: DataFrame) -> DataFrame:
-    """(language, n, q): q maps each statistic to its values at RANKS, read from one mergeable sketch a language and statistic."""
+    """(language, n, q): q maps each statistic to its values at RANKS, read from one mergeable sketch a language and statistic.
+
+    The sketches of und, and of a language with fewer than FEW documents, are those of all languages but und, merged; of its
+    own documents if there are no others.
+    """
     sketches = stats.groupBy("language").agg(F.count("*").alias("n"), *[F.kll_sketch_agg_double(s).alias(s) for s in STATS])
-    read = [F.struct(*[F.kll_sketch_get_quantile_double(F.col(s), F.array(*[F.lit(r) for r in RANKS])).alias(s) for s in STATS]).alias("q")]
+    known = F.col("language") != UNKNOWN
+    # A row for each language, joined with the one row that they make together.
+    merged = sketches.where(known).agg(*[F.kll_merge_agg_double(s).alias(f"__{s}") for s in STATS])
+    few = ~known | (F.col("n") < FEW)
+    sketches = sketches.join(F.broadcast(merged), few, "left")
+    read = [F.struct(*[F.kll_sketch_get_quantile_double(F.coalesce(F.col(f"__{s}"), F.col(s)), F.array(*[F.lit(r) for r in RANKS])).alias(s) for s in STATS]).alias("q")]
     return sketches.select("language", "n", *read)
 
 
 def scores(stats: DataFrame) -> DataFrame:
-    """stats with z_<stat>: the distance from the language's median in units of the spread of its upper half.
+    """stats with z_<stat>: the distance from the language's median in units of its spread, towards what isn't prose above 0.
 
-    The spread is half the way from the median to the upper quartile, scaled to a normal deviation: documents that aren't
-    prose crowd the lower half of common_share, and more than a quarter of a language may be such documents. It is at
-    least a twentieth of the median, and 0.01. `stats` should be cut or cached, as it is read twice.
+    The spread is the way from the median to the quartile on the other side, that of prose, scaled to a normal deviation: more
+    than a quarter of a language may be no prose. It is at least SPREAD. `stats` should be cut or cached, as it is read twice.
     """
-    dist = distributions(stats).select("language", *[F.struct(F.get(F.col(f"q.{s}"), F.lit(50)).alias("m"), F.get(F.col(f"q.{s}"), F.lit(75)).alias("u")).alias(f"__{s}") for s in STATS])
+    side = {s: 75 if s in LOW else 25 for s in STATS}
+    dist = distributions(stats).select("language", *[F.struct(F.get(F.col(f"q.{s}"), F.lit(50)).alias("m"), F.get(F.col(f"q.{s}"), F.lit(side[s])).alias("u")).alias(f"__{s}") for s in STATS])
     out = stats.join(F.broadcast(dist), "language")  # a row for each language of the common words
-    z = lambda s: (F.col(s) - F.col(f"__{s}.m")) / F.greatest((F.col(f"__{s}.u") - F.col(f"__{s}.m")) / 0.6745, F.col(f"__{s}.m") / 20, F.lit(0.01))
+    z = lambda s: (F.col(s) - F.col(f"__{s}.m")) * (-1 if s in LOW else 1) / F.greatest(F.abs(F.col(f"__{s}.u") - F.col(f"__{s}.m")) / 0.6745, F.lit(SPREAD[s]))
     return out.select("doc_id", "language", *STATS, *[z(s).alias(f"z_{s}") for s in STATS])
 
 
@@ -130,27 +150,29 @@ def percentiles(stats: DataFrame) -> DataFrame:
 def flag(documents: DataFrame, common: DataFrame, tail: float = 3.5) -> DataFrame:
     """(doc_id, kind) of the documents that mostly aren't natural prose; kind is list, table or junk.
 
-    A document is flagged if it lies in the lower tail of its language's common_share and another statistic bears it out:
-    items and rows make up a good part of it, or it has the marks of junk, or it lies twice as far out. A text without any
-    common word has no language to be held against and needs one of these, or lines none of which ends a sentence. The
-    kind is junk by the upper tails of residue, lone letters, repeated lines, symbols or the length of words where items
-    and rows don't explain them, table if more of it are rows than items, else list. Repeated rows yield one row each.
+    Every statistic is held against its distribution in the document's language (a text without any common word against that
+    of all languages): it is in its tail if it lies `tail` spreads from the median, see scores(). A document is flagged whose
+    common_share is in its tail and another statistic too, or common_share or residue_share twice as far out. The kind is
+    junk if residue or lone letters are in their tails, or items and rows aren't; else table if rows are further out than
+    items, else list. A text without words has no kind. Repeated rows yield one row each.
     """
     s = scores(cut(statistics(documents, common)))
-    return s.where(_odd(tail)).select("doc_id", _kind().alias("kind"))
+    return s.where(_odd(tail)).select("doc_id", _kind(tail).alias("kind"))
 
 
-def _junk() -> Column:
-    c, plain = F.col, F.col("item_share") + F.col("row_share") < 0.5
-    return (c("residue_share") > 0.2) | (c("lone_share") > 0.6) | (c("repeat_share") > 0.7) | (plain & ((c("z_symbol_ratio") > 12) | (c("symbol_ratio") > 0.15) | (c("word_length") > 14)))
+def _laid(tail: float) -> Column:
+    return F.col("z_item_share") + F.col("z_row_share") > tail
 
 
 def _odd(tail: float) -> Column:
-    z, laid = F.col("z_common_share"), F.col("item_share") + F.col("row_share") >= 0.3
-    told = (z < -tail) & (laid | _junk() | (z < -2.1 * tail))
-    untold = laid | _junk() | (F.col("punctuated_lines") == 0)
-    return (F.col("words") > 0) & ((F.col("residue_share") > 0.25) | F.when(F.col("language") == UNKNOWN, untold).otherwise(told))
+    others = [F.col(f"z_{s}") > tail for s in STATS if s not in ("words", "common_share", "item_share", "row_share")]
+    borne = _laid(tail)
+    for other in others:
+        borne = borne | other
+    z = F.col("z_common_share")
+    return (F.col("words") > 0) & ((z > tail) & borne | (z > 2 * tail) | (F.col("z_residue_share") > 2 * tail))
 
 
-def _kind() -> Column:
-    return F.when(_junk(), "junk").when(F.col("row_share") > F.col("item_share"), "table").otherwise("list")
+def _kind(tail: float) -> Column:
+    junk = (F.col("z_residue_share") > tail) | (F.col("z_lone_share") > tail) | ~_laid(tail)
+    return F.when(junk, "junk").when(F.col("z_row_share") > F.col("z_item_share"), "table").otherwise("list")

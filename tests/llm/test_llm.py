@@ -358,12 +358,18 @@ def test_quality(spark):
     odd = {
         100: ("list", "\n".join(f"- basalt map {k}" for k in range(20))), 101: ("list", "\n".join(f"Claim Status ......... {k}" for k in range(20))), 102: ("table", "\n".join(f"S{k}\t{k}\t{k * 2}" for k in range(20))),
         103: ("table", "\n".join(f"{k}.5  {k}.1   {k * 3}" for k in range(20))), 104: ("junk", "\n".join("".join(rnd.choice("#*<>=_^[]{}|~ab") for _ in range(40)) for _ in range(10))), 105: ("junk", "page blank\n" * 30), 106: ("junk", "BT /F1 6 Tf 1.2 3.4 Td <F7EF> Tj ET\n" * 9),
+        107: ("junk", "kwzbb lfthbwhnqcbrhr sngrxnntmlhl frjfjg zxjtwqqtr xjqkxxwlfgfsqpqg\n" * 4), 108: ("list", "Contents:\n" + "- gold\n- silver map\n- Lake survey\n" * 9),
     }
     rows = texts + [(k, t, None) for k, (_, t) in odd.items()] + [(200, None, None), (201, "", None), (0, texts[0][1], None)]
     d, common = spark.createDataFrame(rows, "doc_id long, text string, lang string"), spark.createDataFrame(COMMON, "lang string, word string")
     assert {r.doc_id: r.kind for r in quality.flag(d, common).collect()} == {k: kind for k, (kind, _) in odd.items()}
     s = {r.doc_id: r for r in quality.statistics(d, common).collect()}
     assert s[200].words == 0 and s[200].language == "und" and s[0].language == "en" and s[102].row_share == 1.0 and s[100].item_share == 1.0
+    assert quality.measure("─┼╬ █▀ text", [frozenset()])[11] == 2 and quality.measure("plain text", [frozenset()])[11] == 0
+    for sign in ("Tf", "Ã©", "â€", "Â§", "\ufffd", "┼", "<b>"):
+        assert quality.measure(f"some {sign} text", [frozenset()])[11] == 1
+    q = {r.language: r.q.words for r in quality.distributions(quality.statistics(d, common)).collect()}
+    assert q["und"] == q["en"]  # there is no other language to be held against
     p = quality.percentiles(quality.statistics(d, common)).where("doc_id = 1").head()
     assert 0 <= p.p_common_share <= 100
     assert quality.flag(d.limit(0), common).count() == 0 and quality.flag(d, common.limit(0)).count() >= 0
