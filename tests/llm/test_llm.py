@@ -369,7 +369,7 @@ def test_quality(spark):
     for sign in ("Tf", "Ã©", "â€", "Â§", "\ufffd", "┼", "<b>"):
         assert quality.measure(f"some {sign} text", [frozenset()])[11] == 1
     q = {r.language: r.q.words for r in quality.distributions(quality.statistics(d, common)).collect()}
-    assert q["und"] == q["en"]  # there is no other language to be held against
+    assert q["und"] == q["fr"] != q["en"]  # few documents have no distribution of their own
     p = quality.percentiles(quality.statistics(d, common)).where("doc_id = 1").head()
     assert 0 <= p.p_common_share <= 100
     assert quality.flag(d.limit(0), common).count() == 0 and quality.flag(d, common.limit(0)).count() >= 0
