@@ -119,10 +119,10 @@ def distributions(stats: DataFrame) -> DataFrame:
     sketches = stats.groupBy("language").agg(F.count("*").alias("n"), *[F.kll_sketch_agg_double(s).alias(s) for s in STATS])
     known = F.col("language") != UNKNOWN
     # A row for each language, joined with the one row that they make together.
-    merged = sketches.where(known).agg(*[F.kll_merge_agg_double(s).alias(f"__{s}") for s in STATS])
+    merged = sketches.where(known).agg(F.count("*").alias("__k"), *[F.kll_merge_agg_double(s).alias(f"__{s}") for s in STATS])
     few = ~known | (F.col("n") < FEW)
     sketches = sketches.join(F.broadcast(merged), few, "left")
-    read = [F.struct(*[F.kll_sketch_get_quantile_double(F.coalesce(F.col(f"__{s}"), F.col(s)), F.array(*[F.lit(r) for r in RANKS])).alias(s) for s in STATS]).alias("q")]
+    read = [F.struct(*[F.kll_sketch_get_quantile_double(F.when(F.col("__k") > 0, F.col(f"__{s}")).otherwise(F.col(s)), F.array(*[F.lit(r) for r in RANKS])).alias(s) for s in STATS]).alias("q")]
     return sketches.select("language", "n", *read)
 
 
