@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from strata.util import salted_join, strip
+from strata.util import sized_join, strip
 
 #: The date folder of a harvested file's path.
 PATH_DATE = r"/(\d{4}-\d{2}-\d{2})/[^/]*$"
@@ -51,8 +51,9 @@ def snapshot_changes(rows: DataFrame, ledger: DataFrame, key: str, compared: Seq
 
     rows: (local_path, position, key, compared...), each local_path one full snapshot. Every row is tagged once as the new
     side of its own date and once as the old side of the next; one aggregation by (resource, date, key) takes each side's
-    row hash, of the row with the highest position (equal ones: the greater hash), and classifies. Rows of files that are
-    not in the ledger, or don't stand for their date, take no part. Keys are trimmed; a null key is the empty key. A
+    row hash, of the row with the highest position (equal ones: the greater hash), and classifies. That is the one shuffle of
+    rows where the list of files is small enough to be broadcast. Rows of files that are not in the ledger, or don't stand
+    for their date, take no part. Keys are trimmed; a null key is the empty key. A
     resource's first snapshot yields no rows. A column missing in `rows` raises; other columns are ignored.
     """
     tagged = rows.select("local_path", F.col(position).alias("__at"), F.coalesce(strip(F.col(key).cast("string")), F.lit("")).alias("__key"), row_hash(compared, numbers).alias("__hash"))
@@ -63,8 +64,11 @@ def snapshot_changes(rows: DataFrame, ledger: DataFrame, key: str, compared: Seq
         F.when(F.col("next_date").isNotNull(), F.struct(F.col("next_date").alias("date"), F.lit(False).alias("new"))),
     )
     files = files.select("resource_id", "local_path", F.filter(sides, lambda s: s.isNotNull()).alias("__sides"))
-    tagged = salted_join(tagged, files, ["local_path"], spread=F.col("__key")).select("resource_id", "__key", "__at", "__hash", F.explode("__sides").alias("__side"))
-    last = lambda new: F.max(F.when(F.col("__side.new") == new, F.struct(F.coalesce("__at", F.lit(-1)).alias("at"), F.col("__hash").alias("h"))))
+    # Position and hash in one number of fixed width, so that the aggregation hashes: its greatest is that of the last row.
+    packed = F.expr("cast(coalesce(__at, -1) AS decimal(19,0)) * 18446744073709551616BD + cast(__hash AS decimal(19,0)) + 9223372036854775808BD")
+    tagged = sized_join(tagged.withColumn("__last", packed).drop("__at", "__hash"), files, ["local_path"], spread=F.col("__key")).select("resource_id", "__key", "__last", F.explode("__sides").alias("__side"))
+    last = lambda new: F.max(F.when(F.col("__side.new") == new, F.col("__last")))
+    own_hash = lambda c: F.expr(f"pmod({c}, 18446744073709551616BD)")
     both = tagged.groupBy("resource_id", F.col("__side.date").alias("snapshot_date"), "__key").agg(last(True).alias("__n"), last(False).alias("__o"))
-    kind = F.when(F.col("__o").isNull(), "added").when(F.col("__n").isNull(), "removed").when(F.col("__n.h") != F.col("__o.h"), "changed")
+    kind = F.when(F.col("__o").isNull(), "added").when(F.col("__n").isNull(), "removed").when(own_hash("__n") != own_hash("__o"), "changed")
     return both.select("resource_id", "snapshot_date", F.col("__key").alias(key), kind.alias("change_kind")).where("change_kind IS NOT NULL")
