@@ -72,3 +72,25 @@ def test_assignment_is_optimal():
         best = max(sum(s[i][p[i]] for i in range(n)) for p in itertools.permutations(range(m), n)) if n <= m else max(sum(s[p[j]][j] for j in range(m)) for p in itertools.permutations(range(n), m))
         assert abs(sum(s[i][j] for i, j in drift.assign(s)) - best) < 1e-9
     assert drift.assign([]) == []
+
+
+def test_unified_fields_have_one_type_and_spare_cells_stay(spark):
+    one = ["id,depth,seen,note", "+1,2,2001-02-03,a", "2,3,,", "3,4,2001-02-04,b,more,"]
+    two = ["id,depth,seen,note", "04,2.50,2001-02-03,7", "5,x"]
+    raw, ledger = frames(spark, [(path(1), one), (path(2), [x.replace("x", "6.0") for x in two])])
+    got = {(r.local_path[-12:-6], r.row_no): r.fields for r in drift.unify(raw, ledger).collect()}
+    assert got == {(k, n): f for k, n, f in [
+        (path(1)[-12:-6], 1, {"id": "1", "depth": "2.0", "seen": "2001-02-03", "note": "a"}), (path(1)[-12:-6], 2, {"id": "2", "depth": "3.0", "seen": None, "note": None}),
+        (path(1)[-12:-6], 3, {"id": "3", "depth": "4.0", "seen": "2001-02-04", "note": "b", "spare_1": "more", "spare_2": None}),
+        (path(2)[-12:-6], 1, {"id": "4", "depth": "2.5", "seen": "2001-02-03", "note": "7"}), (path(2)[-12:-6], 2, {"id": "5", "depth": "6.0", "seen": None, "note": None})]}
+
+
+def test_a_large_table_beyond_the_broadcast_bound(spark, monkeypatch):
+    from strata import util
+
+    rows = table()
+    raw, ledger = frames(spark, [(path(1), csv_lines(["id", "class"], [r[:2] for r in rows])), (path(2), csv_lines(["id", "stage"], [r[:2] for r in rows]))])
+    want = {tuple(r) for r in drift.changes(raw, ledger).collect()}
+    real = util.sized_join
+    monkeypatch.setattr(drift, "sized_join", lambda *a, **k: real(*a, **{**k, "most": 0}))
+    assert {tuple(r) for r in drift.changes(raw, ledger).collect()} == want == {("t", path(2), "class", "stage", "renamed")}
