@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 import unicodedata
 from itertools import combinations
@@ -10,18 +11,21 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.util import cut
+from strata.util import cut, sized_join
 
-#: Words that make up company names besides the name proper, by class, and short forms no rule yields.
+#: Words that make up company names besides the name proper, by class, and short forms no rule yields. They are a
+#: start: general_words() adds those that a corpus shows to be general.
 LEGAL = "ltd limited ltee limitee inc incorporated incorporee corp corporation co company compagnie cie llc lp plc holdings group groupe operator".split()
 PLACE = "lake bay mountain star creek ridge river island point narrows township hill falls harbour lac riviere ontario alberta yukon quebec manitoba saskatchewan british columbia nova scotia brunswick newfoundland labrador nunavut canada north south east west".split()
 TRADE = "gold silver copper zinc nickel lithium uranium iron platinum cobalt diamond potash graphite mines mining minerals metals resources ventures exploration explorations development developments prospecting syndicate energy royalty geological services consulting societe miniere minier metaux ressources mineraux or cuivre".split()
 SHORT = {
-    "lk": "lake", "mt": "mountain", "mtn": "mountain", "ck": "creek", "crk": "creek", "r": "river", "riv": "river", "rdg": "ridge", "isl": "island", "pt": "point", "twp": "township",
-    "au": "gold", "ag": "silver", "cu": "copper", "zn": "zinc", "ni": "nickel", "li": "lithium", "u": "uranium", "fe": "iron", "pt": "platinum", "co": "company",
+    "lk": "lake", "mt": "mountain", "mtn": "mountain", "ck": "creek", "crk": "creek", "r": "river", "riv": "river", "rdg": "ridge", "isl": "island", "twp": "township",
+    "au": "gold", "ag": "silver", "cu": "copper", "zn": "zinc", "ni": "nickel", "li": "lithium", "u": "uranium", "fe": "iron", "co": "company",
     "mng": "mining", "minls": "minerals", "min": "minerals", "expln": "exploration", "explorn": "exploration", "res": "resources", "ress": "ressources", "soc": "societe",
     "bc": "british", "ont": "ontario", "alb": "alberta", "alta": "alberta", "yuk": "yukon", "que": "quebec", "man": "manitoba", "sask": "saskatchewan", "ns": "nova",
 }
+#: Short forms of a place word and of a trade word; the family tells which, see _companies().
+EITHER = {"pt": ("point", "platinum")}
 DROPPED = frozenset("the of de du des la le les l d and et no mr mrs ms miss dr m messrs".split())
 NOBODY = frozenset("unknown inconnu inconnue none null nil na n/a nan tba tbd various divers several confidential anonymous anonyme unnamed untitled test same see not".split())
 #: Given names and the familiar forms of each.
@@ -64,16 +68,44 @@ def lcs_ratio(a: str, b: str) -> float:
     return 2 * row[-1] / (len(a) + len(b)) if a or b else 1.0
 
 
-_known: dict[str, str] = {}
+#: A word is general if it stands in this share of all different names, and in LEAST of them, beside so many other words for each.
+GENERAL, LEAST, BESIDE = 0.005, 30, 0.25
+_known: dict[tuple[str, frozenset], str] = {}
 
 
-def generic(token: str) -> str:
+def words_of(name: str) -> list[str]:
+    """The words of a name in lower case without accents and apostrophes, and its commas."""
+    plain = "".join(c for c in unicodedata.normalize("NFKD", name.lower()) if not unicodedata.combining(c))
+    return re.findall(r"[a-z0-9]+|,", re.sub(r"\bjean[- ]pierre\b", "jeanpierre", plain).replace("'", "").replace("’", ""))
+
+
+def general_words(values: DataFrame) -> frozenset[str]:
+    """Words of many different names that belong to no family: they stand beside many others, as the words of one name don't.
+
+    Given names and the words of the lists aren't among them. There are at most some hundred, by the share that each has of
+    all names; they go to the driver.
+    """
+
+    @F.pandas_udf("array<string>")
+    def split(names: pd.Series) -> pd.Series:
+        return names.map(lambda n: sorted({w for w in words_of(n) if len(w) > 2 and not w.isdigit()}))
+
+    names = cut(values.select(split("company").alias("ws")))
+    least = max(LEAST, math.ceil(GENERAL * names.count()))
+    counted = names.select(F.explode("ws").alias("w")).groupBy("w").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+    beside = names.select("ws", F.explode("ws").alias("w")).join(F.broadcast(counted), "w").select("w", "n", F.explode("ws").alias("o")).where("o <> w")  # as many as GENERAL allows
+    rows = beside.groupBy("w", "n").agg(F.approx_count_distinct("o").alias("o")).where(F.col("o") >= BESIDE * F.col("n")).collect()
+    return frozenset(r["w"] for r in rows if r["w"] not in _GENERIC and r["w"] not in SHORT and r["w"] not in DROPPED and r["w"] not in NOBODY and not formal(r["w"]))
+
+
+def generic(token: str, learned: frozenset[str] = frozenset()) -> str:
     """The general word that a token stands for, written out, short or misspelt; '' for a part of the name proper."""
-    if token in _known:
-        return _known[token]
-    found = token if token in _GENERIC else SHORT.get(token, "")
+    key = (token, learned)
+    if key in _known:
+        return _known[key]
+    found = token if token in _GENERIC or token in EITHER or token in learned else SHORT.get(token, "")
     if not found and len(token) >= 3:
-        for word in _GENERIC:
+        for word in (*_GENERIC, *sorted(learned)):
             shorter = len(token) < len(word) and token[0] == word[0]
             if shorter and len(token) <= 6 and (word.startswith(token) or _consonants("", token) == _consonants("", word)) and len(_consonants("", token)) > 1:
                 found = word
@@ -83,7 +115,7 @@ def generic(token: str) -> str:
                 break
     if len(_known) > 500_000:
         _known.clear()
-    _known[token] = found
+    _known[key] = found
     return found
 
 
@@ -96,19 +128,17 @@ def formal(token: str) -> set[str]:
     return set()
 
 
-def parse(name: str) -> tuple[str, list[str], str, str, list[str]]:
+def parse(name: str, learned: frozenset[str] = frozenset()) -> tuple[str, list[str], str, str, list[str]]:
     """(kind, roots, place, trade, given): the parts of a name as typed; kind is org, person or none."""
     plain = "".join(c for c in unicodedata.normalize("NFKD", name.lower()) if not unicodedata.combining(c))
     if plain.strip(" .?-") in NOBODY or re.match(r"\W*(?:not (?:stated|given|known|available|applicable)|see |various |n/?a\b|unknown|none\b|inconnu|sans objet|non (?:indique|precise))", plain):
         return "none", [], "", "", []
-    plain = re.sub(r"\bjean[- ]pierre\b", "jeanpierre", plain)
-    plain = plain.replace("'", "").replace("’", "")
-    tokens = [t for t in re.findall(r"[a-z0-9]+|,", plain)]
+    tokens = words_of(name)
     words = [t for t in tokens if t != "," and t not in DROPPED or len(t) == 1 and t != ","]
     if not words or not any(c.isalnum() for c in plain):
         return "none", [], "", "", []
     numbers = [t for t in words if t.isdigit() and len(t) >= 3]
-    classed = [(t, generic(t) if len(t) > 1 else "") for t in words]
+    classed = [(t, generic(t, learned) if len(t) > 1 else "") for t in words]
     joint = "&" in plain or re.search(r"\b(?:and|et)\b", plain)
     if numbers or joint or any(g for _, g in classed):
         out = []
@@ -119,8 +149,8 @@ def parse(name: str) -> tuple[str, list[str], str, str, list[str]]:
                     continue
             out.append((t, g))
         roots = [t for t, g in out if not g]
-        place = " ".join(sorted({g for _, g in out if _GENERIC.get(g) == "place"}))
-        trade = " ".join(sorted({g for _, g in out if _GENERIC.get(g) == "trade"}))
+        place = " ".join(sorted({g for _, g in out if _GENERIC.get(g) == "place" or g in EITHER}))
+        trade = " ".join(sorted({g for _, g in out if _GENERIC.get(g) == "trade" or g in learned}))
         return ("org" if roots else "none"), roots, place, trade, []
     if "," in tokens:
         at = tokens.index(",")
@@ -139,10 +169,10 @@ def parse(name: str) -> tuple[str, list[str], str, str, list[str]]:
     return "person", [last], "", "", [t for t in words if t != last]
 
 
-def _parsed(values: DataFrame) -> DataFrame:
+def _parsed(values: DataFrame, learned: frozenset[str]) -> DataFrame:
     @F.pandas_udf("kind string, roots array<string>, place string, trade string, given array<string>")
     def parsed(names: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([parse(n) for n in names], columns=["kind", "roots", "place", "trade", "given"])
+        return pd.DataFrame([parse(n, learned) for n in names], columns=["kind", "roots", "place", "trade", "given"])
 
     return values.select("company", parsed("company").alias("p")).select("company", "p.*")
 
@@ -216,15 +246,26 @@ def root_links(parsed: DataFrame) -> DataFrame:
     left, right = blocks.select("key", F.col("w").alias("a")), blocks.select("key", F.col("w").alias("b"))
     both = left.join(right, "key").where("a < b AND left(a, 1) = left(b, 1)").select("a", "b").unionAll(_near(refined.where((F.col("n") > COMMON) & (F.locate("~", F.col("key")) == 2)).select("key", "w")))
     total = F.length("a") + F.length("b")
+    both = both.unionAll(_first_letters(roots.select("w").distinct()))
     both = both.where((F.abs(F.length("a") - F.length("b")) <= EDITS) & (F.levenshtein("a", "b") <= EDITS)).select("a", "b").distinct()
 
     @F.pandas_udf("double")
     def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
         return pd.Series([lcs_ratio(x, y) for x, y in zip(a, b)], dtype="float64")
 
+    # A word of n letters that differs in its first has the ratio (n - 1) / n or more.
     return both.where(ratio("a", "b") >= F.greatest(F.lit(LIKE), 1 - EDITS / total - 1e-9))
 
 
+def _first_letters(words: DataFrame) -> DataFrame:
+    """(a, b): words of six letters or more whose first letter was replaced, left out, put in or changed for the second."""
+    w = words.where("length(w) >= 6")
+    rest, swapped = F.substring("w", 2, 10_000), F.concat(F.substring("w", 2, 1), F.substring("w", 1, 1), F.substring("w", 3, 10_000))
+    forms = w.select("w", F.explode(F.array(F.struct(F.lit("r").alias("t"), rest.alias("k")), F.struct(F.lit("w").alias("t"), F.col("w").alias("k")))).alias("f")).select("w", "f.*")
+    other = w.select(F.col("w").alias("o"), F.explode(F.array(F.struct(F.lit("r").alias("t"), rest.alias("k")), F.struct(F.lit("w").alias("t"), rest.alias("k")), F.struct(F.lit("w").alias("t"), swapped.alias("k")))).alias("f")).select("o", "f.*")
+    return forms.join(other, ["t", "k"]).where("w <> o").select(F.least("w", "o").alias("a"), F.greatest("w", "o").alias("b")).distinct()
+
+
 def components(pairs: DataFrame) -> DataFrame:
     """(w, label): the least word that each word of the pairs is linked to, through any number of pairs.
 
@@ -252,6 +293,9 @@ def _people(group: pd.DataFrame) -> list[str]:
     for given, o in zip(group.given, options):
         if len(o) == 1:
             middles.setdefault(next(iter(o)), set()).update(t for t in given if len(t) == 1)
+    starting: dict[str, set[str]] = {}
+    for p in present:
+        starting.setdefault(p[:1], set()).add(p)
     out = []
     for given, first, o in zip(group.given, firsts, options):
         if len(o) > 1:
@@ -260,7 +304,7 @@ def _people(group: pd.DataFrame) -> list[str]:
         elif len(o) == 1:
             out.append(next(iter(o)))
         else:
-            there = {p for p in present if p[:1] == first}
+            there = starting.get(first, set())
             rest = set(given[1:])
             if len(there) > 1 and rest:
                 there = {p for p in there if rest & middles.get(p, set())} or there
@@ -269,24 +313,43 @@ def _people(group: pd.DataFrame) -> list[str]:
 
 
 def _companies(group: pd.DataFrame) -> list[str]:
-    """An entity's name for each row of a family: its place and trade words, filled up where only one fuller name has them."""
-    full = sorted({(p, t) for p, t in zip(group.place, group.trade)})
-    sets = {k: (frozenset(k[0].split()), frozenset(k[1].split())) for k in full}
+    """An entity's name for each row of a family: its place and trade words, filled up where only one fuller name has them.
+
+    A name has one fuller one if the names that hold all its words and more make up one of them together.
+    """
+    plain = {(p, t) for p, t in zip(group.place, group.trade) if not set(p.split()) & set(EITHER)}
+
+    def told(place: str, trade: str) -> tuple[str, str]:
+        for short in set(place.split()) & set(EITHER):
+            rest, (as_place, as_trade) = [w for w in place.split() if w != short], EITHER[short]
+            one = (" ".join(sorted([*rest, as_place])), trade)
+            two = (" ".join(rest), " ".join(sorted([*trade.split(), as_trade])))
+            place, trade = two if two in plain and one not in plain else one
+        return place, trade
+
+    keys = [told(p, t) for p, t in zip(group.place, group.trade)]
+    full = {k: (frozenset(k[0].split()), frozenset(k[1].split())) for k in keys}
+    known = {v: k for k, v in full.items()}
+    by_place: dict[frozenset, list[frozenset]] = {}
+    for place, trade in full.values():
+        by_place.setdefault(place, []).append(trade)
 
     def home(key: tuple[str, str]) -> tuple[str, str]:
-        place, trade = sets[key]
-        above = [o for o in full if o != key and sets[o][0] == place and sets[o][1] > trade] or ([o for o in full if o != key and sets[o][0] > place and sets[o][1] >= trade] if not place and not trade else [])
-        top = [o for o in above if not any(sets[x][1] > sets[o][1] and sets[x][0] >= sets[o][0] for x in above)]
-        return top[0] if len(top) == 1 else key
+        place, trade = full[key]
+        above = [(place, t) for t in by_place[place] if t > trade]
+        if not above and not place and not trade:
+            above = [v for v in full.values() if v[0]]
+        top = (frozenset().union(*(p for p, _ in above)), frozenset().union(*(t for _, t in above)))
+        return known[top] if above and top in known else key
 
     homes = {k: home(k) for k in full}
-    return ["|".join(homes[k]) for k in zip(group.place, group.trade)]
+    return ["|".join(homes[k]) for k in keys]
 
 
 def _resolve(group: pd.DataFrame) -> pd.DataFrame:
-    group = group.sort_values("company")
+    group = group.sort_values(["place", "trade", "first"])
     names = _people(group) if group.kind.iloc[0] == "person" else _companies(group)
-    return pd.DataFrame({"company": group.company, "entity": [f"{group.family.iloc[0]}#{n}" for n in names]})
+    return pd.DataFrame({"family": group.family, "place": group.place, "trade": group.trade, "first": group["first"], "entity": [f"{group.family.iloc[0]}#{n}" for n in names]})
 
 
 def entities(chunks: DataFrame, column: str = "company") -> DataFrame:
@@ -297,13 +360,22 @@ def entities(chunks: DataFrame, column: str = "company") -> DataFrame:
     be missing if only one company of the family has them; for people the same given name, which may be familiar or an
     initial if only one person of the family goes by it. Sister companies and relatives stay apart.
     """
-    values = chunks.select(F.col(column).alias("company")).where(r"trim(company) <> ''").groupBy("company").agg(F.count("*").alias("n")).select("company")
-    parsed = cut(_parsed(values)).where("kind <> 'none'")
+    values = cut(chunks.select(F.col(column).alias("company")).where(r"trim(company) <> ''").groupBy("company").agg(F.count("*").alias("n")).select("company"))
+    parsed = cut(_parsed(values, general_words(values)).where("kind <> 'none'"))
     labels = components(root_links(parsed))
     words = parsed.select("company", F.explode("roots").alias("w")).join(labels, "w", "left").groupBy("company").agg(F.array_join(F.array_sort(F.collect_set(F.coalesce("label", "w"))), " ").alias("roots"))
     family = F.concat_ws(":", F.when(F.col("kind") == "person", "p").otherwise("o"), "r.roots")
-    rows = parsed.alias("l").join(words.alias("r"), "company").select("company", "kind", "place", "trade", "given", family.alias("family"))
-    return rows.groupBy("family").applyInPandas(_resolve, "company string, entity string")
+    rows = cut(parsed.alias("l").join(words.alias("r"), "company").select("company", "kind", "place", "trade", "given", F.array_join("given", " ").alias("first"), family.alias("family")))
+    # A family is resolved by its different words, of which there are few however many its spellings are.
+    keys = ["family", "place", "trade", "first"]
+    different = rows.groupBy(*keys).agg(F.first("kind").alias("kind"), F.first("given").alias("given")).repartition(spread(rows), "family")
+    named = different.groupBy("family").applyInPandas(_resolve, "family string, place string, trade string, first string, entity string")
+    return sized_join(rows, named, keys).select("company", "entity")
+
+
+def spread(df: DataFrame) -> int:
+    """Tasks for work in Python on few rows, which would be put together by their size: as many as shuffles have at least."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def linked_pairs(chunks: DataFrame, column: str = "company") -> DataFrame:

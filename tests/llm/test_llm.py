@@ -191,6 +191,24 @@ def test_names(spark):
     assert names.linked_pairs(spark.createDataFrame([], "company string")).count() == 0
 
 
+def test_errors_in_the_first_letter_and_ambiguous_short_forms(spark):
+    groups = [["Vantreil Lake Gold Mines Ltd.", "Cantreil Lake Gold Mines Ltd.", "antreil Lake Gold Mines Ltd.", "Avntreil Lake Gold Mines"], ["Bell Point Gold Ltd.", "Bell Pt Gold"], ["Grolt Platinum Mines Inc.", "Grolt Pt Mines"], ["Cantreil River Gold Mines Ltd."]]
+    got = {tuple(r) for r in names.linked_pairs(spark.createDataFrame([(v,) for g in groups for v in g], "company string")).collect()}
+    assert got == {(a, b) for g in groups for a in g for b in g if a < b}
+
+
+def test_general_words_are_learned(spark):
+    rnd = random.Random(4)
+    root = lambda: "".join(rnd.choice(["bra", "klu", "ston", "mer", "voi", "gret", "hul"]) for _ in range(3))
+    roots = sorted({root() for _ in range(90)})
+    values = [f"{r.title()} {w}" for r in roots for w in ("Drilling Ltd", "Drilling", "Partners Inc.")] + [f"Vantreil Number {k}" for k in range(99)]
+    df = spark.createDataFrame([(v,) for v in values], "company string")
+    assert names.general_words(df) == {"drilling", "partners"}  # Vantreil and Number stand beside each other only
+    got = {tuple(r) for r in names.linked_pairs(df.where("company NOT LIKE 'Vantreil%'")).collect()}
+    assert {(a, b) for a, b in got} >= {(f"{r.title()} Drilling", f"{r.title()} Drilling Ltd") for r in roots}
+    assert not any("Drilling" in a and "Partners" in b for a, b in got)
+
+
 def test_words_of_a_common_block_all_meet(spark):
     rnd = random.Random(5)
     for _ in range(3):
