@@ -82,7 +82,7 @@ def words_of(name: str) -> list[str]:
 def general_words(values: DataFrame) -> frozenset[str]:
     """Words of many different names that belong to no family: they stand beside many others, as the words of one name don't.
 
-    Given names and the words of the lists aren't among them. There are at most some hundred, by the share that each has of
+    Given names, the words of the lists and short forms aren't among them. There are at most some hundred, by the share that each has of
     all names; they go to the driver.
     """
 
@@ -95,7 +95,13 @@ def general_words(values: DataFrame) -> frozenset[str]:
     counted = names.select(F.explode("ws").alias("w")).groupBy("w").agg(F.count("*").alias("n")).where(F.col("n") >= least)
     beside = names.select("ws", F.explode("ws").alias("w")).join(F.broadcast(counted), "w").select("w", "n", F.explode("ws").alias("o")).where("o <> w")  # as many as GENERAL allows
     rows = beside.groupBy("w", "n").agg(F.approx_count_distinct("o").alias("o")).where(F.col("o") >= BESIDE * F.col("n")).collect()
-    return frozenset(r["w"] for r in rows if r["w"] not in _GENERIC and r["w"] not in SHORT and r["w"] not in DROPPED and r["w"] not in NOBODY and not formal(r["w"]))
+    learned: list[str] = []
+    for r in sorted(rows, key=lambda r: (-r["n"], r["w"])):
+        w = r["w"]
+        # A short or misspelt form of a more frequent general word isn't one of its own.
+        if not generic(w, frozenset(learned)) and w not in DROPPED and w not in NOBODY and not formal(w):
+            learned.append(w)
+    return frozenset(learned)
 
 
 def generic(token: str, learned: frozenset[str] = frozenset()) -> str:
