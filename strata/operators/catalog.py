@@ -32,6 +32,13 @@ def listed(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(f.getPath().toString() for f in found or [])
 
 
+def with_row_ids(df: DataFrame) -> DataFrame:
+    """Adds __rid, a stored table's row number: the place of its file among the table's files, and its place in the file."""
+    order = {path.rsplit("/", 1)[-1]: k for k, path in enumerate(sorted(df.inputFiles()))}
+    place = F.create_map(*[F.lit(x) for path, k in order.items() for x in (path, k)]) if order else F.lit(None).cast("map<string,int>")
+    return df.withColumn("__rid", F.try_element_at(place, F.col("_metadata.file_name")).cast("long") * F.lit(2**40) + F.col("_metadata.row_index"))
+
+
 def columns(spark: SparkSession, names: list[str]) -> DataFrame:
     """(table_name, position, column_name, data_type) of the named views."""
     rows = [(t, i, c, kind) for t in names for i, (c, kind) in enumerate(spark.table(t).dtypes)]

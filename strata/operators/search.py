@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: The usual parameters of BM25.
@@ -44,5 +45,43 @@ def bm25(docs: DataFrame, query: str, keys: Sequence[str], text: str = "text", l
     return out.orderBy(F.desc("score"), *keys).limit(limit) if limit else out
 
 
+#: Folders of a stored index, by the hash of the term: a query reads those of its terms.
+FOLDERS = 64
+
+
+def write_index(docs: DataFrame, keys: Sequence[str], path: str, text: str = "text", folders: int = FOLDERS) -> None:
+    """Stores an inverted index: path/postings (term, keys, tf, dl) in folders by term, sorted by it, and path/stats (n, avg).
+
+    One shuffle counts terms by document, one brings those of a folder together; documents without terms count in the stats.
+    A term that stands everywhere is spread over several files of its folder.
+    """
+    words = docs.select(*keys, tokens(F.col(text)).alias("__w"))
+    words.agg(F.count("*").alias("n"), F.avg(F.size("__w")).alias("avg")).write.mode("overwrite").parquet(f"{path}/stats")
+    found = words.select(*keys, F.size("__w").alias("dl"), F.explode("__w").alias("term")).groupBy(*keys, "dl", "term").agg(F.count("*").cast("int").alias("tf"))
+    found = found.withColumn("folder", _folder(F.col("term"), folders))
+    found = found.repartition("folder", F.pmod(F.xxhash64(*keys), F.lit(8))).sortWithinPartitions("folder", "term")
+    found.write.mode("overwrite").option("parquet.block.size", 16 << 20).partitionBy("folder").parquet(f"{path}/postings")
+
+
+def _folder(term: Column, folders: int) -> Column:
+    return F.pmod(F.xxhash64(term), F.lit(folders)).cast("int")
+
+
+def ranked(spark: SparkSession, path: str, query: str, keys: Sequence[str], limit: int | None = 50, folders: int = FOLDERS) -> DataFrame:
+    """(keys, score) as bm25() has them, from a stored index: only the folders of the query's terms are read, and in them their rows."""
+    few = spark.createDataFrame([(query,)], "q string").select(F.explode(F.array_distinct(tokens(F.col("q")))).alias("term"))
+    terms = [(r["term"], r["folder"]) for r in few.select("term", _folder(F.col("term"), folders).alias("folder")).collect()]
+    stats = spark.read.parquet(f"{path}/stats").head()
+    rows = spark.read.parquet(f"{path}/postings").where(F.col("folder").isin(sorted({f for _, f in terms})) & F.col("term").isin(sorted(t for t, _ in terms)))
+    counted = {r["term"]: r["df"] for r in rows.groupBy("term").agg(F.count("*").alias("df")).collect()}  # a row for each term of the query
+    idf = F.lit(0.0)
+    for term, df in counted.items():
+        idf = F.when(F.col("term") == term, math.log(1.0 + (stats["n"] - df + 0.5) / (df + 0.5))).otherwise(idf)
+    tf = F.col("tf").cast("double")
+    score = idf * tf * (K + 1) / (tf + K * (1 - B + B * F.col("dl") / (stats["avg"] or 1.0)))
+    out = rows.groupBy(*keys).agg(F.round(F.sum(score), 6).alias("score"))
+    return out.orderBy(F.desc("score"), *keys).limit(limit) if limit else out
+
+
 def _is(term: str):  # noqa: ANN202
     return lambda t: t == term

@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 import argparse
+import datetime
+import json
+import os
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata import session
 from strata.functions import columns as C
-from strata.operators import catalog, ledger
+from strata.operators import ledger, vectors
+from strata.plans import harvest, process
 from strata.sources import portals, registry
+from strata.util import cut
 
 
 def catalog_inventory(packages: DataFrame, jurisdiction: str, portal: str, match: list[tuple[str, list[str]]]) -> DataFrame:
@@ -56,33 +61,69 @@ def plan(spark: SparkSession, inventory: DataFrame, ledger_path: str, force: boo
     return ledger.classify(inventory, spark.read.parquet(ledger_path), force)
 
 
+def collection_of(spark: SparkSession, root: str) -> vectors.Collection:
+    return vectors.Collection(spark, f"{root}/vectors")
+
+
+def embedder_of(name: str = "remote", model: str = "nomic-embed-text") -> vectors.Embedder:
+    """The embedder for the command line: a served model, or hashed words; EMBEDDING_BACKEND overrides the name."""
+    host = os.environ.get("EMBEDDING_HOST", "http://localhost:11434")
+    return vectors.backend({"remote": lambda m: vectors.remote_embedder(host, m), "hash": lambda _: vectors.hash_embedder()}, name, model)
+
+
+def update(spark: SparkSession, root: str, inventory: DataFrame, day: str, now: str, **options) -> list[DataFrame]:  # noqa: ANN003
+    """Harvest, process and index, one after the other; a stage that raises ends the run. Returns the reports of the first two."""
+    counted = harvest.run(spark, root, inventory, day, now, **options)
+    loaded = process.process(spark, root, harvest.ledger_of(spark, root))
+    process.build_index(spark, root)
+    return [counted, loaded]
+
+
 def main(args: list[str] | None = None) -> None:
-    """discover [--json] [--jurisdiction J...] | plan --ledger PATH [--force] | search --tables DIR QUERY [--limit N]"""
-    p = argparse.ArgumentParser(prog="strata", description=main.__doc__)
-    p.add_argument("command", choices=["discover", "plan", "search"])
+    """The lake from the command line.
+
+    discover [--json] [--jurisdiction J...] | plan --root DIR [--force] | harvest --root DIR [--jurisdiction J...] [--only CODE...] [--force]
+    process --root DIR | index --root DIR | update --root DIR | search --root DIR QUERY [--limit N] | query --root DIR QUERY [--limit N] [--filter JSON]
+    """
+    p = argparse.ArgumentParser(prog="strata", description=main.__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
+    p.add_argument("command", choices=["discover", "plan", "harvest", "process", "index", "update", "search", "query"])
     p.add_argument("query", nargs="?", default="")
+    p.add_argument("--root", default=os.environ.get("STRATA_LAKE", "lake"))
     p.add_argument("--jurisdiction", nargs="*", default=None)
+    p.add_argument("--only", nargs="*", default=None)
     p.add_argument("--json", action="store_true")
     p.add_argument("--force", action="store_true")
-    p.add_argument("--ledger")
-    p.add_argument("--tables")
     p.add_argument("--limit", type=int, default=10)
+    p.add_argument("--filter", type=json.loads, default=None)
+    p.add_argument("--backend", default="remote")
     a = p.parse_args(args)
     spark = session.build()
+    now = datetime.datetime.now()
+    day, second = now.date().isoformat(), now.isoformat(timespec="seconds")
     if a.command == "search":
-        from strata.operators import search
-
-        catalog.load(spark, a.tables)
-        search.bm25(spark.table("search_text").distinct(), a.query, ["source_table", "rid"], limit=a.limit).show(a.limit, False)
-        return
-    found = discover(spark, a.jurisdiction)
-    if a.command == "plan":
-        found = plan(spark, found, a.ledger, a.force)
-    if a.json:
-        for line in found.toJSON().toLocalIterator():
-            print(line)
+        process.search_lake(spark, a.root, a.query, a.limit).show(a.limit, False)
+    elif a.command == "query":
+        hits = collection_of(spark, a.root).search(a.query, embedder_of(a.backend), a.limit, a.filter).orderBy("rank")
+        hits.select("rank", F.format_string("%.3f", "score").alias("score"), F.left("id", F.lit(16)).alias("source"), F.left("text", F.lit(200)).alias("text")).show(a.limit, False)
+    elif a.command == "process":
+        process.process(spark, a.root, harvest.ledger_of(spark, a.root)).orderBy("kind", "table_name").show(1000, False)
+    elif a.command == "index":
+        print("\n".join(process.build_index(spark, a.root)))
     else:
-        found.groupBy("jurisdiction", *(["status"] if a.command == "plan" else [])).count().orderBy("jurisdiction").show(100, False)
+        found = cut(discover(spark, a.jurisdiction))
+        if a.command == "discover" and a.json:
+            for line in found.toJSON().toLocalIterator():
+                print(line)
+        elif a.command == "discover":
+            found.select("jurisdiction", inventory_line().alias("resource")).orderBy("jurisdiction", "resource").show(10_000, False)
+            found.groupBy("jurisdiction").agg(F.count("*").alias("resources"), F.count_if(ledger.downloadable()).alias("downloadable")).orderBy("jurisdiction").show(100, False)
+        elif a.command == "plan":
+            plan(spark, found, f"{a.root}/ledger", a.force).groupBy("jurisdiction", "status").count().orderBy("jurisdiction", "status").show(1000, False)
+        elif a.command == "harvest":
+            harvest.run(spark, a.root, found, day, second, a.jurisdiction, a.only, a.force).show()
+        else:
+            for report in update(spark, a.root, found, day, second, jurisdictions=a.jurisdiction, codes=a.only, force=a.force):
+                report.show(1000, False)
 
 
 if __name__ == "__main__":

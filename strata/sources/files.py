@@ -25,6 +25,32 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, header=True, inferSchema=True, sep="\t" if path.lower().endswith(".tsv") else ",", encoding="ISO-8859-1")
 
 
+def file_system(path: str):  # noqa: ANN201
+    """(file system, path on it) of a local path or an address that pyarrow.fs knows."""
+    from pyarrow import fs
+
+    if "://" not in path:
+        return fs.LocalFileSystem(), path.removeprefix("file:")
+    return fs.FileSystem.from_uri(path)
+
+
+def opened(paths: DataFrame) -> DataFrame:
+    """(path, content) of the files named by `path`, each read by the task that holds its row; null content if it can't be read."""
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for path in batch.path:
+                try:
+                    system, inner = file_system(path)
+                    with system.open_input_stream(inner) as f:
+                        data = f.read()
+                except OSError:
+                    data = None
+                yield pd.DataFrame([(path, data)], columns=["path", "content"])
+
+    return paths.select("path").mapInPandas(read, "path string, content binary")
+
+
 def contents(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """(path, content, size_bytes, sha256) of the files of a folder and those below it."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path)
@@ -60,6 +86,9 @@ def expand_archives(files: DataFrame) -> DataFrame:
 
 def _geojson(data: bytes) -> Iterator[tuple[str, dict, dict | None]]:
     root = json.loads(data.decode("utf-8-sig"))
+    crs = str(((root.get("crs") or {}).get("properties") or {}).get("name") or "CRS84")
+    if not crs.endswith(("CRS84", "4326")):
+        raise ValueError(f"coordinates of {crs}, not WGS 84")
     for f in root.get("features") or ([root] if root.get("type") == "Feature" else []):
         yield "", f.get("properties") or {}, f.get("geometry")
 
@@ -160,7 +189,11 @@ def _gpkg(data: bytes) -> Iterator[tuple[str, dict, dict | None]]:
         f.write(data)
         f.flush()
         db = sqlite3.connect(f.name)
-        for layer, column in db.execute("SELECT table_name, column_name FROM gpkg_geometry_columns ORDER BY 1").fetchall():
+        known = [c[1] for c in db.execute("PRAGMA table_info(gpkg_geometry_columns)")]
+        srs = "srs_id" if "srs_id" in known else "4326"
+        for layer, column, system in db.execute(f"SELECT table_name, column_name, {srs} FROM gpkg_geometry_columns ORDER BY 1").fetchall():
+            if system not in (4326, 0, -1):
+                raise ValueError(f"coordinates of system {system}, not WGS 84")
             rows = db.execute(f'SELECT * FROM "{layer}"')
             names = [c[0] for c in rows.description]
             for row in rows:
@@ -177,7 +210,8 @@ _READERS: dict[str, Callable[[bytes], Iterator[tuple[str, dict, dict | None]]]]
 def features(files: DataFrame, readers: dict | None = None) -> DataFrame:
     """(path, layer, properties, geometry, lon, lat) of the vector files among (path, content); coordinates are WGS 84.
 
-    Formats are told by suffix; other files have no rows, a file that can't be read has one with null properties. `readers`
+    Formats are told by suffix; other files have no rows, a file that can't be read, or has coordinates of another system, has
+    one with null properties. `readers`
     adds formats: suffix to a function from bytes to (layer, properties, geometry).
     """
     known = {**_READERS, **(readers or {})}
@@ -227,21 +261,22 @@ def sheets(files: DataFrame) -> DataFrame:
 
 
 def report_texts(files: DataFrame, extractor: Callable[[bytes], list[str]]) -> DataFrame:
-    """(report_id, path, text): pages that `extractor` finds in each .pdf file, joined by line feeds; null if none or if it fails."""
+    """(report_id, path, text, failed): pages that `extractor` finds in each .pdf file, joined by line feeds; null if none or if it fails."""
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
             for path, data in zip(batch.path, batch.content):
                 if path.lower().endswith(".pdf"):
+                    text, failed = None, data is None
                     try:
-                        text = "\n".join(extractor(data)).strip() or None
+                        text = None if failed else "\n".join(extractor(data)).strip() or None
                     except Exception:  # noqa: BLE001 - one unreadable report must not end the others
-                        text = None
-                    out.append((path.rsplit("/", 1)[-1].rsplit(".", 1)[0], path, text))
-            yield pd.DataFrame(out, columns=["report_id", "path", "text"])
+                        failed = True
+                    out.append((path.rsplit("/", 1)[-1].rsplit(".", 1)[0], path, text, failed))
+            yield pd.DataFrame(out, columns=["report_id", "path", "text", "failed"])
 
-    return files.mapInPandas(read, "report_id string, path string, text string")
+    return files.mapInPandas(read, "report_id string, path string, text string, failed boolean")
 
 
 def write_geojson(df: DataFrame, path: str) -> None:

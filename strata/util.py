@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +39,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="strata-checkpoint-"))
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new path in the shared checkpoint folder, for tables that tasks read by themselves; it goes with that folder."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/strata-{uuid.uuid4().hex}"
+
+
 def cut(df: DataFrame) -> DataFrame:
     """The rows written to the shared checkpoint folder and read from there: later steps don't compute them again.
 
