@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.columns import content_hash
+from strata.sources import shapes
 
 FEATURES = "path string, layer string, properties map<string,string>, geometry string, lon double, lat double"
 
@@ -210,29 +211,49 @@ _READERS: dict[str, Callable[[bytes], Iterator[tuple[str, dict, dict | None]]]]
 def features(files: DataFrame, readers: dict | None = None) -> DataFrame:
     """(path, layer, properties, geometry, lon, lat) of the vector files among (path, content); coordinates are WGS 84.
 
+    A shapefile's parts are brought together by their stem. A file that fails has none of its features.
+
     Formats are told by suffix; other files have no rows, a file that can't be read, or has coordinates of another system, has
     one with null properties. `readers`
     adds formats: suffix to a function from bytes to (layer, properties, geometry).
     """
     known = {**_READERS, **(readers or {})}
+    stem, suffix = F.regexp_replace("path", r"\.[^./]+$", ""), F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1))
+    parts = files.where(suffix.isin("shp", "dbf", "prj")).groupBy(stem.alias("stem")).agg(
+        F.max(F.when(suffix == "shp", F.col("path"))).alias("path"), *[F.max_by("content", F.when(suffix == s, F.col("path"))).alias(s) for s in ("shp", "dbf", "prj")]
+    )
+
+    def rows_of(path: str, found: Callable[[], Iterator[tuple[str, dict, dict | None]]]) -> list[tuple]:
+        rows: list[tuple] = []
+        try:
+            for layer, props, shape in found():
+                at = (shape or {}).get("coordinates") if (shape or {}).get("type") == "Point" else None
+                text = {str(k): None if v is None else v if isinstance(v, str) else json.dumps(v) for k, v in props.items()}
+                rows.append((path, layer, text, json.dumps(shape) if shape else None, float(at[0]) if at else None, float(at[1]) if at else None))
+        except (ValueError, KeyError, IndexError, ET.ParseError, sqlite3.Error, struct.error):
+            return [(path, "", None, None, None, None)]
+        return rows
+
+    columns = ["path", "layer", "properties", "geometry", "lon", "lat"]
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = []
+            rows: list[tuple] = []
             for path, data in zip(batch.path, batch.content):
                 reader = known.get(path.rsplit(".", 1)[-1].lower())
-                if reader is None or data is None:
-                    continue
-                try:
-                    for layer, props, shape in reader(data):
-                        at = (shape or {}).get("coordinates") if (shape or {}).get("type") == "Point" else None
-                        text = {str(k): None if v is None else v if isinstance(v, str) else json.dumps(v) for k, v in props.items()}
-                        rows.append((path, layer, text, json.dumps(shape) if shape else None, float(at[0]) if at else None, float(at[1]) if at else None))
-                except (ValueError, ET.ParseError, sqlite3.Error, struct.error):
-                    rows.append((path, "", None, None, None, None))
-            yield pd.DataFrame(rows, columns=["path", "layer", "properties", "geometry", "lon", "lat"])
-
-    return files.mapInPandas(read, FEATURES)
+                if reader is not None and data is not None:
+                    rows += rows_of(path, lambda: reader(data))  # noqa: B023
+            yield pd.DataFrame(rows, columns=columns)
+
+    def together(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows: list[tuple] = []
+            for path, shp, dbf, prj in zip(batch.path, batch.shp, batch.dbf, batch.prj):
+                rows += rows_of(path, lambda: shapes.read(shp, dbf, prj))  # noqa: B023
+            yield pd.DataFrame(rows, columns=columns)
+
+    shapefiles = parts.where("shp IS NOT NULL").select("path", "shp", "dbf", "prj").mapInPandas(together, FEATURES)
+    return files.mapInPandas(read, FEATURES).unionAll(shapefiles)
 
 
 def sheets(files: DataFrame) -> DataFrame:

@@ -299,6 +299,56 @@ def test_geometries_are_whole(spark, tmp_path):
     assert got["c.gpx"] == [({}, shapes[0], 1.5), ({"name": "r"}, shapes[1], None), ({"name": "t"}, shapes[4], None)]
 
 
+def shapefile(code, bodies, fields, rows, deleted=()):
+    """A .shp and its .dbf."""
+    import struct
+
+    out = b""
+    for k, body in enumerate(bodies):
+        body = struct.pack("<i", code if body else 0) + body
+        out += struct.pack(">ii", k + 1, len(body) // 2) + body
+    shp = struct.pack(">i", 9994) + bytes(20) + struct.pack(">i", (100 + len(out)) // 2) + bytes(72) + out
+    width = 1 + sum(n for _, n in fields)
+    head = bytes([3, 0, 0, 0]) + struct.pack("<IHH", len(rows), 33 + 32 * len(fields), width) + bytes(20)
+    head += b"".join(name.encode().ljust(11, b"\0") + b"C" + bytes(4) + bytes([n]) + bytes(15) for name, n in fields) + b"\r"
+    return shp, head + b"".join((b"*" if k in deleted else b" ") + b"".join(str(v).encode("latin-1").ljust(n) for v, (_, n) in zip(r, fields)) for k, r in enumerate(rows))
+
+
+def test_shapefiles(spark, tmp_path):
+    import struct
+
+    box = bytes(32)
+    ring = lambda pairs: b"".join(struct.pack("<dd", *p) for p in pairs)
+    square, hole, far = [[0.0, 0.0], [0.0, 9.0], [9.0, 9.0], [9.0, 0.0], [0.0, 0.0]], [[1.0, 1.0], [2.0, 1.0], [2.0, 2.0], [1.0, 1.0]], [[20.0, 0.0], [20.0, 1.0], [21.0, 0.0], [20.0, 0.0]]
+    many = lambda parts: box + struct.pack("<ii", len(parts), sum(map(len, parts))) + b"".join(struct.pack("<i", sum(map(len, parts[:k]))) for k in range(len(parts))) + b"".join(map(ring, parts))
+    cases = {
+        "p": (1, [ring([[1.5, 2.0]]), b""], [{"type": "Point", "coordinates": [1.5, 2.0]}, None]),
+        "z": (11, [ring([[1.5, 2.0]]) + bytes(16)], [{"type": "Point", "coordinates": [1.5, 2.0]}]),
+        "l": (3, [many([hole]), many([hole, far])], [{"type": "LineString", "coordinates": hole}, {"type": "MultiLineString", "coordinates": [hole, far]}]),
+        "g": (5, [many([square, hole]), many([square, hole, far])], [{"type": "Polygon", "coordinates": [square, hole]}, {"type": "MultiPolygon", "coordinates": [[square, hole], [far]]}]),
+        "m": (8, [box + struct.pack("<i", 2) + ring(hole[:2])], [{"type": "MultiPoint", "coordinates": hole[:2]}]),
+    }
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
+        for name, (code, bodies, _) in cases.items():
+            shp, dbf = shapefile(code, bodies, [("NAME", 8), ("n", 3)], [(f"é{k}", k) for k in range(len(bodies))])
+            z.writestr(f"x/{name}.shp", shp)
+            z.writestr(f"x/{name}.DBF", dbf)
+        z.writestr("x/p.prj", 'GEOGCS["GCS_North_American_1983",DATUM["D_North_American_1983"]]')
+        shp, dbf = shapefile(1, [ring([[1.0, 2.0]]), ring([[3.0, 4.0]])], [("a", 2)], [("", ), ("b", )], deleted={1})
+        z.writestr("y/d.shp", shp)
+        z.writestr("y/d.dbf", dbf)
+        z.writestr("y/u.shp", shp)
+        z.writestr("y/u.prj", 'PROJCS["NAD83_UTM_17N",GEOGCS["GCS_North_American_1983"]]')
+        z.writestr("y/bad.shp", b"1234567890")
+        z.writestr("y/lone.dbf", dbf)
+    got = {}
+    for r in files.features(files.expand_archives(files.contents(spark, str(tmp_path)))).collect():
+        got.setdefault(r.path.rsplit("/", 1)[-1], []).append((r.properties, r.geometry and json.loads(r.geometry)))
+    for name, (_, _, want) in cases.items():
+        assert got[f"{name}.shp"] == [({"NAME": f"é{k}", "n": str(k)}, w) for k, w in enumerate(want)]
+    assert got["d.shp"] == [({"a": None}, {"type": "Point", "coordinates": [1.0, 2.0]})] and got["u.shp"] == got["bad.shp"] == [(None, None)] and "lone.dbf" not in got
+
+
 def test_refresh_appends_only_changed_content(spark, tmp_path):
     (tmp_path / "in").mkdir()
     for k, sha in enumerate("AABA"):
