@@ -378,26 +378,39 @@ class Reader:
         """
         if not keep:
             return []
-        size = [len(lines[k].strip()) for k in keep]
-        inset = [len(lines[k]) - len(lines[k].lstrip()) for k in keep]
+        texts = [lines[k].strip() for k in keep]
+        size = [len(t) for t in texts]
         states: dict[tuple[int, bool], float] = {(size[0] // STEP, True): 0.0}
         trace: list[dict[tuple[int, bool], tuple[tuple[int, bool], bool]]] = []
-        for at, (here, after) in enumerate(zip(keep, keep[1:])):
-            s, t = lines[here].strip(), lines[after].strip()
-            between = [kinds[j] for j in range(here + 1, after)]
-            gap = "blank" in between and not any(b in ("page_no", "header", "header?") for b in between)
-            stop, capital, title = s[-1] in ".:!?)", not t[0].islower(), "title" in (kinds[here], kinds[after])
-            hyphen, first = s[-1] in HYPHENS, len(t.split(None, 1)[0])
+        for at in range(len(keep) - 1):
+            here, after, s, t = keep[at], keep[at + 1], texts[at], texts[at + 1]
+            gap, title = False, kinds[here] == "title" or kinds[after] == "title"
+            if after > here + 1:
+                between = kinds[here + 1 : after]
+                gap = "blank" in between and "page_no" not in between and "header" not in between and "header?" not in between
+            stop, capital, wide_here, wide_next = s[-1] in ".:!?)", not t[0].islower(), size[at], size[at + 1]
+            first = t.find(" ")
+            need, level = wide_here + 1 + (first if first > 0 else wide_next), wide_next // STEP
+            deeper = len(lines[after]) - len(lines[after].lstrip()) > len(lines[here]) - len(lines[here].lstrip()) + 1
+            go_on = 1.0 + 5.0 * gap + 9.0 * title
+            stay = 0.5 + 2.0 * (stop and capital)
+            end_here = 2.0 + 4.0 * (not stop) + 4.0 * (not capital) - 6.0 * gap - 8.0 * title - 1.0 * deeper
+            cut_word = 20.0 if s[-1] in HYPHENS and not capital and not title else 0.0
             new: dict[tuple[int, bool], float] = {}
             back: dict[tuple[int, bool], tuple[tuple[int, bool], bool]] = {}
-            for (wide, alone), cost in states.items():
-                room = size[at] + 1 + first <= max(wide * STEP, size[at + 1])
-                join = 1.0 + 2.0 * (stop and room and capital) + 5.0 * gap + 9.0 * title + 0.5 * room
-                end = 2.0 + 4.0 * (not stop) + 4.0 * (not capital) + 1.0 * (not room) + 0.5 * (alone and not title) - 6.0 * gap - 8.0 * title - 1.0 * (inset[at + 1] > inset[at] + 1)
-                end = max(end, 0.0) + (20.0 if hyphen and not capital and not title else 0.0)
-                for state, total, ended in (((max(wide, size[at + 1] // STEP), False), cost + join, False), ((size[at + 1] // STEP, True), cost + end, True)):
-                    if total < new.get(state, math.inf):
-                        new[state], back[state] = total, ((wide, alone), ended)
+            ended, ended_by = math.inf, None
+            for state, cost in states.items():
+                wide, alone = state
+                room = need <= wide * STEP or need <= wide_next
+                total = cost + go_on + (stay if room else 0.0)
+                key = (wide if wide > level else level, False)
+                if total < new.get(key, math.inf):
+                    new[key], back[key] = total, (state, False)
+                end = end_here + (0.0 if room else 1.0) + (0.5 if alone and not title else 0.0)
+                total = cost + (end if end > 0.0 else 0.0) + cut_word
+                if total < ended:
+                    ended, ended_by = total, state
+            new[(level, True)], back[(level, True)] = ended, (ended_by, True)
             states = new
             trace.append(back)
         state, out = min(states, key=lambda x: (states[x], x)), [[keep[-1]]]
