@@ -26,7 +26,14 @@ def _csv(line: Column, tab: Column) -> Column:
     """The cells of a delimited line: quoted cells may hold the separator, doubled quotes stand for one."""
     comma = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(r'(?s),("(?:[^"]|"")*"|[^,]*)'), F.lit(1))
     tabs = F.regexp_extract_all(F.concat(F.lit("\t"), line), F.lit('(?s)\t("(?:[^"]|"")*"|[^\t]*)'), F.lit(1))
-    return F.transform(F.when(tab, tabs).otherwise(comma), lambda c: F.when(c.startswith('"') & c.endswith('"') & (F.length(c) > 1), F.replace(F.substr(c, F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))).otherwise(c))
+    bare = lambda c: F.when(c.startswith('"') & c.endswith('"') & (F.length(c) > 1), F.replace(F.substr(c, F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))).otherwise(c)
+    quoted = F.transform(F.when(tab, tabs).otherwise(comma), bare)
+    return F.when(line.contains('"'), quoted).when(tab, F.split(line, "\t")).otherwise(F.split(line, ","))
+
+
+def _once(names: Column) -> Column:
+    """Names of which each stands once; repeated ones are null."""
+    return F.when(F.size(F.array_distinct(names)) == F.size(names), names).otherwise(F.transform(names, lambda n, i: F.when(F.array_position(names, n) == i + 1, n)))
 
 
 def _format(path: Column, written: Column) -> Column:
@@ -62,28 +69,30 @@ def described(rows: DataFrame, ledger: DataFrame) -> DataFrame:
     heads = rows.where("row_no = 0 AND payload IS NOT NULL").groupBy("local_path").agg(F.min("payload").alias("head"))
     delimited = F.col("format").isin("csv", "tsv")
     files = files_of(rows, ledger).join(heads, "local_path", "left").withColumn("head", F.when(delimited, F.col("head")))
-    names = F.transform(_csv(F.col("head"), F.col("format") == "tsv"), _name)
+    names = _once(F.transform(_csv(F.col("head"), F.col("format") == "tsv"), _name))
     return cut(files.withColumns({"f": F.xxhash64("source_table", "local_path"), "prev": F.when(F.col("prev_path").isNotNull(), F.xxhash64("source_table", "prev_path")), "head_names": names}))
 
 
 def parse(rows: DataFrame, files: DataFrame) -> DataFrame:
-    """(f, row_no, names, values, spare, ...): each data line of described() files with its fields, names in lower case.
+    """(f, row_no, names, values, spare, ...): each data line of described() files with its fields, names in lower case or null.
 
     Row 0 of a .csv or .tsv file is its header; later lines equal to it are no data. A line with too few cells has nulls at
-    the end, spare holds those beyond the header; of a name that occurs twice in a line the first cell counts. A payload that
+    the end, spare holds those beyond the header; of a name that occurs twice in a line the first cell counts, the other has no name. A payload that
     isn't an object has no fields. Null payloads yield no row. Further columns of `files` are kept.
     """
     raw = rows.where("payload IS NOT NULL AND source_table IS NOT NULL").select("source_table", "local_path", "row_no", "payload")
     tab, delimited = F.col("format") == "tsv", F.col("format").isin("csv", "tsv")
     lines = sized_join(raw, files, ["source_table", "local_path"], spread=F.col("row_no"))
     lines = lines.where(~delimited | ((F.col("row_no") != 0) & (F.col("payload") != F.col("head"))))
-    body = F.when(F.col("format") == "geojson", F.get_json_object("payload", "$.properties")).otherwise(F.col("payload"))
-    lines = lines.withColumn("__map", F.when(~delimited, F.from_json(body, "map<string,string>", {"mode": "PERMISSIVE"})))
+    whole, inner = F.from_json("payload", "map<string,string>"), F.from_json("payload", "struct<properties:map<string,string>>")["properties"]
+    lines = lines.withColumn("__map", F.when(F.col("format") == "json", whole).when(F.col("format") == "geojson", inner))
+    lines = lines.withColumn("__lower", F.transform(F.map_keys("__map"), lambda n: F.lower(trimmed(n))))
     lines = lines.withColumn("__cells", F.when(delimited, _csv(F.col("payload"), tab)))
     none = F.array().cast("array<string>")
     width = F.size("head_names")
-    names = F.when(delimited, F.col("head_names")).otherwise(F.transform(F.map_keys("__map"), lambda n: F.lower(trimmed(n))))
-    values = F.when(delimited, F.slice(F.concat("__cells", F.array_repeat(F.lit(None).cast("string"), width)), F.lit(1), width)).otherwise(F.map_values("__map"))
+    names = F.when(delimited, F.col("head_names")).when(F.col("__map").isNotNull(), _once(F.col("__lower")))
+    filled = F.slice(F.concat("__cells", F.array_repeat(F.lit(None).cast("string"), width)), F.lit(1), width)
+    values = F.when(delimited, F.when(F.size("__cells") == width, F.col("__cells")).otherwise(filled)).otherwise(F.map_values("__map"))
     spare = F.when(F.size("__cells") > width, F.slice("__cells", width + 1, F.size("__cells"))).otherwise(none)
     keep = [c for c in files.columns if c not in ("source_table", "local_path", "date", "format", "prev_path", "prev", "head", "head_names", "f")]
     return lines.select("f", "row_no", F.coalesce(names, none).alias("names"), F.coalesce(values, none).alias("values"), spare.alias("spare"), *keep)
@@ -91,16 +100,16 @@ def parse(rows: DataFrame, files: DataFrame) -> DataFrame:
 
 def cells_of(parsed: DataFrame) -> DataFrame:
     """(f, row_no, field, value, kind): one row for each cell; blank values are null. kind: 1 integer, 2 decimal, 4 date, 8 text, 0 blank."""
-    once = F.filter(F.arrays_zip("names", "values"), lambda c, i: F.array_position("names", c["names"]) == i + 1)
-    cells = parsed.select("f", "row_no", F.explode(once).alias("c"))
-    cells = cells.select("f", "row_no", F.col("c.names").alias("field"), F.nullif(trimmed(F.col("c.values")), F.lit("")).alias("value"))
+    cells = parsed.select("f", "row_no", "names", F.posexplode("values").alias("i", "v")).select("f", "row_no", F.get("names", F.col("i")).alias("field"), F.nullif(trimmed(F.col("v")), F.lit("")).alias("value"))
+    cells = cells.where("field IS NOT NULL")
     return cells.withColumn("kind", kind_of(F.col("value")))
 
 
 def kind_of(value: Column) -> Column:
     """The bit of the first type that a value fits; 0 for null."""
     integer, decimal, date = r"^[+-]?[0-9]+$", r"^[+-]?[0-9]+(\.[0-9]+)?$", r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
-    return F.when(value.isNull(), 0).when(value.rlike(integer), 1).when(value.rlike(decimal), 2).when(value.rlike(date), 4).otherwise(8)
+    first = F.ascii(value)  # a digit or a sign, or nothing but text follows
+    return F.when(value.isNull(), 0).when(~first.between(48, 57) & ~first.isin(43, 45), 8).when(value.rlike(integer), 1).when(value.rlike(decimal), 2).when(value.rlike(date), 4).otherwise(8)
 
 
 def type_of(kinds: Column) -> Column:
@@ -110,19 +119,20 @@ def type_of(kinds: Column) -> Column:
 
 def canonical(value: Column, kind: Column) -> Column:
     """A value without what a change of type does to it: units, bounds, trailing zeros, letter case, the day of a date."""
-    year = r"^(?:(\d{4})-\d{2}-\d{2}|\d{1,2}[/.]\d{1,2}[/.](\d{4})|[A-Za-z]{3,9}\.? (\d{4}))"
+    year = r"^(?:\d{1,2}[/.]\d{1,2}[/.]|[A-Za-z]{3,9}\.? |(?=\d{4}-\d{2}-\d{2}))(\d{4})"
     bare = r"^(?:[<>~]=?|ca\.?|about)? ?([+-]?\d+(?:\.\d+)?)(?: ?[A-Za-z%/]{1,4})?$"
-    parts = [F.nullif(F.regexp_extract(value, year, k), F.lit("")) for k in (1, 2, 3)]
-    number = F.when(kind <= 2, value).when(kind == 4, F.left(value, F.lit(4))).when(value.rlike("[0-9]"), F.coalesce(*parts, F.regexp_extract(value, bare, 1))).try_cast("double")
+    told = F.coalesce(F.nullif(F.regexp_extract(value, year, 1), F.lit("")), F.regexp_extract(value, bare, 1))
+    number = F.when(kind <= 2, value).when(kind == 4, F.left(value, F.lit(4))).when(value.rlike("[0-9]"), told).try_cast("double")
     return F.coalesce((number + F.lit(0.0)).cast("string"), F.lower(value))
 
 
 def profile(rows: DataFrame, files: DataFrame) -> DataFrame:
-    """(f, field, kinds, n, filled): for each field of each of the described() files what its values are like; headers name fields, too. Cut."""
-    seen = cells_of(parse(rows, files)).groupBy("f", "field").agg(F.bit_or("kind").alias("kinds"), F.count("*").alias("n"), F.count("value").alias("filled"))
-    named = files.select("f", F.explode("head_names").alias("field")).select("f", "field", F.lit(0).alias("kinds"), F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("filled"))
-    both = seen.unionAll(named).groupBy("f", "field").agg(F.bit_or("kinds").alias("kinds"), F.max("n").alias("n"), F.max("filled").alias("filled"))
-    return cut(both)
+    """(f, field, kinds, n, filled, sketch): for each field of each of the described() files what its values are like; headers name fields, too. Cut."""
+    sketch = F.theta_sketch_agg(canonical(F.col("value"), F.col("kind")), F.lit(SKETCH))
+    seen = cells_of(parse(rows, files)).groupBy("f", "field").agg(F.bit_or("kind").alias("kinds"), F.count("*").alias("n"), F.count("value").alias("filled"), sketch.alias("sketch"))
+    named = files.select("f", F.explode("head_names").alias("field")).where("field IS NOT NULL")
+    none = F.lit(0).cast("long")
+    return cut(seen.join(named, ["f", "field"], "full").select("f", "field", F.coalesce("kinds", F.lit(0)).alias("kinds"), F.coalesce("n", none).alias("n"), F.coalesce("filled", none).alias("filled"), "sketch"))
 
 
 def _likeness(a: str, b: str) -> Column:
@@ -168,13 +178,16 @@ def assign(scores: list[list[float]]) -> list[tuple[int, int]]:
     return [(b, a) for a, b in pairs] if flip else pairs
 
 
-def _match(group: pd.DataFrame) -> pd.DataFrame:
-    """The matched pairs of one file and the file before it."""
-    olds, news = sorted(set(group.old_field)), sorted(set(group.new_field))
-    at = {(o, n): s for o, n, s in zip(group.old_field, group.new_field, group.score)}
-    pairs = assign([[at.get((o, n), 0.0) for n in news] for o in olds])
-    keep = [(olds[i], news[j]) for i, j in pairs if at.get((olds[i], news[j]), 0.0) >= RENAME]
-    return pd.DataFrame([(group["at"].iloc[0], o, n) for o, n in keep], columns=["at", "old_field", "new_field"])
+def _match(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The matched pairs of each file and the file before it, from the scores of all their pairs."""
+    for batch in batches:
+        out = []
+        for file, scores in zip(batch["at"], batch.scores):
+            at = {(x["old_field"], x["new_field"]): x["score"] for x in scores}
+            olds, news = sorted({o for o, _ in at}), sorted({n for _, n in at})
+            pairs = assign([[at.get((o, n), 0.0) for n in news] for o in olds])
+            out += [(file, olds[i], news[j]) for i, j in pairs if at.get((olds[i], news[j]), 0.0) >= RENAME]
+        yield pd.DataFrame(out, columns=["at", "old_field", "new_field"])
 
 
 def steps(found: DataFrame, files: DataFrame) -> DataFrame:
@@ -188,7 +201,7 @@ def steps(found: DataFrame, files: DataFrame) -> DataFrame:
     return cut(both)
 
 
-def renames(rows: DataFrame, files: DataFrame, both: DataFrame) -> DataFrame:
+def renames(rows: DataFrame, files: DataFrame, found: DataFrame, both: DataFrame) -> DataFrame:
     """(at, old_field, new_field): fields of the described() files that go on under another name in file `at`. Cut.
 
     A field that both files name is itself. The others are matched: scores come from value sketches of the single values
@@ -201,9 +214,7 @@ def renames(rows: DataFrame, files: DataFrame, both: DataFrame) -> DataFrame:
     wanted = loose.groupBy("at").agg(F.collect_set(F.when(F.col("is_old"), F.col("field"))).alias("olds"), F.collect_set(F.when(~F.col("is_old"), F.col("field"))).alias("news")).where("size(olds) > 0 AND size(news) > 0")
     wanted = cut(wanted.join(files.select(F.col("f").alias("at"), "prev"), "at"))
     ends = wanted.select(F.col("at").alias("f")).unionAll(wanted.select(F.col("prev").alias("f"))).distinct()
-    needed = files.join(ends, "f", "left_semi")
-    cells = cells_of(parse(rows, needed)).where("value IS NOT NULL")
-    sketches = cut(cells.groupBy("f", "field").agg(F.theta_sketch_agg(canonical(F.col("value"), F.col("kind")), F.lit(SKETCH)).alias("sketch"), F.count("*").alias("n")))
+    sketches = cut(sized_join(found.where("filled > 0").select("f", "field", "sketch", F.col("filled").alias("n")), ends, ["f"]))
     # The record's name: of the fields with most different values, the pair with most values in common that are nearly unique in both.
     many = F.row_number().over(Window.partitionBy("f").orderBy(F.desc("different"), "field"))
     naming = sketches.withColumn("different", F.theta_sketch_estimate("sketch")).withColumn("k", many).where(F.col("k") <= NAMING)
@@ -217,7 +228,7 @@ def renames(rows: DataFrame, files: DataFrame, both: DataFrame) -> DataFrame:
     side = lambda f, is_old, anchor, fields: sides.select(F.col(f).alias("f"), F.struct("at", F.lit(is_old).alias("is_old"), F.col(anchor).alias("anchor"), F.col(fields).alias("wanted")).alias("s"))
     sides = side("at", False, "new_anchor", "news").unionAll(side("prev", True, "old_anchor", "olds")).groupBy("f").agg(F.collect_list("s").alias("sides"))
     lines = parse(rows, files.join(sides, "f")).select("names", "values", F.explode("sides").alias("s"))
-    place = lambda n: F.get(F.col("values"), F.array_position("names", n) - 1)
+    place = lambda n: F.get(F.col("values"), F.array_position("names", n).cast("int") - 1)
     held = lines.select("s.at", "s.is_old", trimmed(place(F.col("s.anchor"))).alias("name"), F.explode(F.transform("s.wanted", lambda w: F.struct(w.alias("field"), F.nullif(trimmed(place(w)), F.lit("")).alias("value")))).alias("c"))
     held = held.select("at", "is_old", "c.field", "name", "c.value").where("name <> '' AND value IS NOT NULL")
     joint = held.groupBy("at", "is_old", "field").agg(F.theta_sketch_agg(F.concat_ws("\u0001", "name", canonical(F.col("value"), kind_of(F.col("value")))), F.lit(SKETCH)).alias("joint"), F.theta_sketch_agg("name", F.lit(SKETCH)).alias("names"))
@@ -234,7 +245,8 @@ def renames(rows: DataFrame, files: DataFrame, both: DataFrame) -> DataFrame:
     alike = F.when(type_of(F.col("n.kinds")) == type_of(F.col("o.kinds")), 0.05).otherwise(0.0)
     score = F.when(empty, 0.9 * name).otherwise(0.85 * F.coalesce(agree, values) + 0.05 * values + 0.05 * name + alike)
     scored = pairs.select("at", F.col("o.field").alias("old_field"), F.col("n.field").alias("new_field"), F.least(score, F.lit(1.0)).alias("score"))
-    return cut(scored.groupBy("at").applyInPandas(_match, "at long, old_field string, new_field string"))
+    scored = scored.groupBy("at").agg(F.collect_list(F.struct("old_field", "new_field", "score")).alias("scores"))
+    return cut(scored.mapInPandas(_match, "at long, old_field string, new_field string"))
 
 
 def changes(rows: DataFrame, ledger: DataFrame) -> DataFrame:
@@ -244,8 +256,9 @@ def changes(rows: DataFrame, ledger: DataFrame) -> DataFrame:
     a second row. Rows without source_table or local_path take no part. Extra columns are ignored.
     """
     files = described(rows, ledger)
-    both = steps(profile(rows, files), files)
-    renamed = renames(rows, files, both)
+    found = profile(rows, files)
+    both = steps(found, files)
+    renamed = renames(rows, files, found, both)
     # A renamed field stands under its new name on both sides, and nowhere else.
     was = renamed.select("at", F.col("new_field").alias("field"), F.col("old_field").alias("was"))
     goes = renamed.select("at", F.col("old_field").alias("field"), F.col("new_field").alias("goes"))
@@ -292,7 +305,7 @@ def unify(rows: DataFrame, ledger: DataFrame) -> DataFrame:
     """
     files = described(rows, ledger)
     found = profile(rows, files)
-    renamed = renames(rows, files, steps(found, files)).withColumnRenamed("at", "f").withColumnRenamed("new_field", "field")
+    renamed = renames(rows, files, found, steps(found, files)).withColumnRenamed("at", "f").withColumnRenamed("new_field", "field")
     fields = found.select("f", "field", "kinds").join(renamed, ["f", "field"], "left").join(files.select("f", "source_table", "date", "local_path"), "f")
     fields = fields.repartition("source_table").sortWithinPartitions("source_table", F.desc("date"), F.desc("local_path"), "field")
     named = cut(fields.select("source_table", "f", "field", "old_field", "kinds").mapInPandas(_chain, "source_table string, f long, field string, name string, kinds int"))
