@@ -118,12 +118,12 @@ def type_of(kinds: Column) -> Column:
 
 
 def canonical(value: Column, kind: Column) -> Column:
-    """A value without what a change of type does to it: units, bounds, trailing zeros, letter case, the day of a date."""
+    """The hash of a value without what a change of type does to it: units, bounds, trailing zeros, letter case, the day of a date."""
     year = r"^(?:\d{1,2}[/.]\d{1,2}[/.]|[A-Za-z]{3,9}\.? |(?=\d{4}-\d{2}-\d{2}))(\d{4})"
     bare = r"^(?:[<>~]=?|ca\.?|about)? ?([+-]?\d+(?:\.\d+)?)(?: ?[A-Za-z%/]{1,4})?$"
     told = F.coalesce(F.nullif(F.regexp_extract(value, year, 1), F.lit("")), F.regexp_extract(value, bare, 1))
     number = F.when(kind <= 2, value).when(kind == 4, F.left(value, F.lit(4))).when(value.rlike("[0-9]"), told).try_cast("double")
-    return F.coalesce((number + F.lit(0.0)).cast("string"), F.lower(value))
+    return F.when(number.isNotNull(), F.xxhash64(number + F.lit(0.0))).when(value.isNotNull(), F.xxhash64(F.lower(value)))
 
 
 def profile(rows: DataFrame, files: DataFrame) -> DataFrame:
@@ -231,7 +231,7 @@ def renames(rows: DataFrame, files: DataFrame, found: DataFrame, both: DataFrame
     place = lambda n: F.get(F.col("values"), F.array_position("names", n).cast("int") - 1)
     held = lines.select("s.at", "s.is_old", trimmed(place(F.col("s.anchor"))).alias("name"), F.explode(F.transform("s.wanted", lambda w: F.struct(w.alias("field"), F.nullif(trimmed(place(w)), F.lit("")).alias("value")))).alias("c"))
     held = held.select("at", "is_old", "c.field", "name", "c.value").where("name <> '' AND value IS NOT NULL")
-    joint = held.groupBy("at", "is_old", "field").agg(F.theta_sketch_agg(F.concat_ws("\u0001", "name", canonical(F.col("value"), kind_of(F.col("value")))), F.lit(SKETCH)).alias("joint"), F.theta_sketch_agg("name", F.lit(SKETCH)).alias("names"))
+    joint = held.groupBy("at", "is_old", "field").agg(F.theta_sketch_agg(F.xxhash64("name", canonical(F.col("value"), kind_of(F.col("value")))), F.lit(SKETCH)).alias("joint"), F.theta_sketch_agg("name", F.lit(SKETCH)).alias("names"))
     # What is known of a loose field, once: its type, its own sketch and those of its records.
     own = sketches.select("f", "field", "sketch")
     known = loose.join(ends, "at").withColumn("f", F.when(F.col("is_old"), F.col("prev")).otherwise(F.col("at"))).join(own, ["f", "field"], "left").join(joint, ["at", "is_old", "field"], "left")

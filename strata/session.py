@@ -9,6 +9,7 @@ DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",  # sketches of many small groups: no sort before 4096 of them
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.python.filterPushdown.enabled": "true",
     "spark.ui.showConsoleProgress": "false",
