@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,13 +49,14 @@ def bm25(docs: DataFrame, query: str, keys: Sequence[str], text: str = "text", l
 FOLDERS = 64
 
 
-def write_index(docs: DataFrame, keys: Sequence[str], path: str, text: str = "text", folders: int = FOLDERS) -> None:
+def write_index(docs: DataFrame, keys: Sequence[str], path: str, text: str = "text", folders: int = FOLDERS, analyze: Callable[[Column], Column] = tokens) -> None:
     """Stores an inverted index: path/postings (term, keys, tf, dl) in folders by term, sorted by it, and path/stats (n, avg).
 
     One shuffle counts terms by document, one brings those of a folder together; documents without terms count in the stats.
-    A term that stands everywhere is spread over several files of its folder.
+    A term that stands everywhere is spread over several files of its folder. `analyze` makes terms of a text: tokens(), or
+    english.terms() for stems without accents and common words; a query must be read in the same way.
     """
-    words = docs.select(*keys, tokens(F.col(text)).alias("__w"))
+    words = docs.select(*keys, analyze(F.col(text)).alias("__w"))
     words.agg(F.count("*").alias("n"), F.avg(F.size("__w")).alias("avg")).write.mode("overwrite").parquet(f"{path}/stats")
     found = words.select(*keys, F.size("__w").alias("dl"), F.explode("__w").alias("term")).groupBy(*keys, "dl", "term").agg(F.count("*").cast("int").alias("tf"))
     found = found.withColumn("folder", _folder(F.col("term"), folders))
@@ -67,9 +68,9 @@ def _folder(term: Column, folders: int) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(folders)).cast("int")
 
 
-def ranked(spark: SparkSession, path: str, query: str, keys: Sequence[str], limit: int | None = 50, folders: int = FOLDERS) -> DataFrame:
+def ranked(spark: SparkSession, path: str, query: str, keys: Sequence[str], limit: int | None = 50, folders: int = FOLDERS, analyze: Callable[[Column], Column] = tokens) -> DataFrame:
     """(keys, score) as bm25() has them, from a stored index: only the folders of the query's terms are read, and in them their rows."""
-    few = spark.createDataFrame([(query,)], "q string").select(F.explode(F.array_distinct(tokens(F.col("q")))).alias("term"))
+    few = spark.createDataFrame([(query,)], "q string").select(F.explode(F.array_distinct(analyze(F.col("q")))).alias("term"))
     terms = [(r["term"], r["folder"]) for r in few.select("term", _folder(F.col("term"), folders).alias("folder")).collect()]
     stats = spark.read.parquet(f"{path}/stats").head()
     rows = spark.read.parquet(f"{path}/postings").where(F.col("folder").isin(sorted({f for _, f in terms})) & F.col("term").isin(sorted(t for t, _ in terms)))

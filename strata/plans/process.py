@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from strata.functions import columns as C
+from strata.functions import english
 from strata.operators import catalog, ledger, search
 from strata.sources import files
 from strata.util import cut
@@ -110,7 +111,7 @@ def build_index(spark: SparkSession, root: str) -> list[str]:
     """Registers a lake folder's tables, layers (as geo_<name>) and ledger (as resources) as views, and writes the search index.
 
     index/search_text holds (source_table, rid, text), rid being a row's place in the files of its table; index/terms the
-    inverted index over it. Returns the views' names.
+    inverted index over it, of stems without accents and common words. Returns the views' names.
     """
     names = catalog.load(spark, f"{root}/processed/tables")
     tables: dict[str, tuple[DataFrame, str]] = {n: (catalog.with_row_ids(spark.read.parquet(f"{root}/processed/tables/{n}.parquet")), "__rid") for n in names}
@@ -129,12 +130,12 @@ def build_index(spark: SparkSession, root: str) -> list[str]:
         text.write.mode("overwrite").parquet(f"{root}/index/search_text")
         stored = spark.read.parquet(f"{root}/index/search_text")
         stored.createOrReplaceTempView("search_text")
-        search.write_index(stored, ["source_table", "rid"], f"{root}/index/terms")
+        search.write_index(stored, ["source_table", "rid"], f"{root}/index/terms", analyze=english.terms)
     return [*names, "resources"]
 
 
 def search_lake(spark: SparkSession, root: str, query: str, limit: int = 50) -> DataFrame:
     """(source_table, rid, text, score): the rows of all tables that rank highest, from the stored index."""
-    best = search.ranked(spark, f"{root}/index/terms", query, ["source_table", "rid"], limit)
+    best = search.ranked(spark, f"{root}/index/terms", query, ["source_table", "rid"], limit, analyze=english.terms)
     text = spark.read.parquet(f"{root}/index/search_text")
     return text.join(F.broadcast(best), ["source_table", "rid"]).select("source_table", "rid", "text", "score").orderBy(F.desc("score"), "source_table", "rid")  # `limit` rows

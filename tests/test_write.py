@@ -101,6 +101,26 @@ def test_stored_index_ranks_as_a_scan_does(spark, tmp_path):
     assert "folder#" in plan.split("PartitionFilters: ")[1][:60] and "term,gold" in plan.split("PushedFilters: ")[1][:80]
 
 
+STEMS = (
+    "caresses:caress ponies:poni ties:ti caress:caress cats:cat feed:feed agreed:agre plastered:plaster bled:bled motoring:motor sing:sing conflated:conflat troubled:troubl sized:size hopping:hop tanned:tan falling:fall "
+    "hissing:hiss fizzed:fizz failing:fail filing:file happy:happi sky:sky relational:relat conditional:condit rational:ration digitizer:digit operator:oper feudalism:feudal decisiveness:decis hopefulness:hope formality:formal "
+    "sensitivity:sensit triplicate:triplic formative:form electrical:electr hopeful:hope goodness:good revival:reviv allowance:allow inference:infer airliner:airlin adjustable:adjust defensible:defens irritant:irrit "
+    "replacement:replac adjustment:adjust dependent:depend adoption:adopt communism:commun activate:activ effective:effect rate:rate cease:ceas controll:control roll:roll"
+)
+
+
+def test_stems(spark, tmp_path):
+    from strata.functions import english
+
+    for pair in STEMS.split():
+        word, want = pair.split(":")
+        assert english.stem(word) == want, word
+    docs = spark.createDataFrame([(1, "The mines of Québec"), (2, "a mining company"), (3, None), (4, "of the and")], "id long, text string")
+    search.write_index(docs, ["id"], str(tmp_path / "i"), analyze=english.terms)
+    find = lambda q: sorted(r.id for r in search.ranked(spark, str(tmp_path / "i"), q, ["id"], analyze=english.terms).collect())
+    assert find("mined") == [1, 2] and find("quebec") == [1] and find("of the") == []
+
+
 def test_collection(spark, tmp_path):
     store = vectors.Collection(spark, str(tmp_path / "c"), buckets=4)
     embed = vectors.hash_embedder(16)
