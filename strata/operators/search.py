@@ -53,14 +53,14 @@ def write_index(docs: DataFrame, keys: Sequence[str], path: str, text: str = "te
     """Stores an inverted index: path/postings (term, keys, tf, dl) in folders by term, sorted by it, and path/stats (n, avg).
 
     One shuffle counts terms by document, one brings those of a folder together; documents without terms count in the stats.
-    A term that stands everywhere is spread over several files of its folder. `analyze` makes terms of a text: tokens(), or
+    A folder too large for one task, as of a term that stands everywhere, is split by its size into several files. `analyze` makes terms of a text: tokens(), or
     english.terms() for stems without accents and common words; a query must be read in the same way.
     """
     words = docs.select(*keys, analyze(F.col(text)).alias("__w"))
     words.agg(F.count("*").alias("n"), F.avg(F.size("__w")).alias("avg")).write.mode("overwrite").parquet(f"{path}/stats")
     found = words.select(*keys, F.size("__w").alias("dl"), F.explode("__w").alias("term")).groupBy(*keys, "dl", "term").agg(F.count("*").cast("int").alias("tf"))
     found = found.withColumn("folder", _folder(F.col("term"), folders))
-    found = found.repartition("folder", F.pmod(F.xxhash64(*keys), F.lit(8))).sortWithinPartitions("folder", "term")
+    found = found.hint("rebalance", "folder").sortWithinPartitions("folder", "term")
     found.write.mode("overwrite").option("parquet.block.size", 16 << 20).partitionBy("folder").parquet(f"{path}/postings")
 
 
