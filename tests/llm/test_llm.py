@@ -1,6 +1,8 @@
 import os
 import random
+import re
 import sys
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -227,6 +229,34 @@ def test_words_of_a_common_block_all_meet(spark):
         assert ("grethuroe", "grethuvre") in got and len(got) > 40
 
 
+def test_keys_of_a_common_block_are_made_in_little_memory(spark):
+    """A word of 22 letters has some 1,500 keys; those of 4,000 such words would take a Python worker more than half a GB."""
+    rnd = random.Random(6)
+    words = ["g" + "".join(rnd.choice("abcdefhijklmnopqrst") for _ in range(20)) + "e" for _ in range(4000)]
+    words.append(words[0][:7] + "z" + words[0][7:])
+    blocks = spark.createDataFrame([(w, "e~person~g") for w in words], "w string, key string").coalesce(1)
+
+    def workers() -> list[Path]:
+        java = {p.parent for p in Path("/proc").glob("[0-9]*/cmdline") if b"pyspark.daemon" in p.read_bytes()}
+        return [p for p in java if os.access(p / "clear_refs", os.W_OK)]
+
+    for p in workers():
+        (p / "clear_refs").write_text("5")  # peaks of earlier tests
+    assert names._near(blocks).collect() == [tuple(sorted((words[0], words[-1])))]
+    peaks = [int(re.search(r"VmHWM:\s+(\d+)", (p / "status").read_text())[1]) / 1024 for p in workers()]
+    assert peaks and max(peaks) < 400
+
+
+def test_keys_of_words_are_not_broadcast(spark):
+    """Spark takes them for as small as the words, whatever the words' number, and would collect them in the driver."""
+    words = spark.createDataFrame([("grethuroe",), ("grethuvre",), ("rgethuroe",)], "w string")
+    for pairs in (names._near(words.withColumn("key", F.lit("e~person~g"))), names._first_letters(words.distinct())):
+        assert pairs.count() == 1
+        pairs.collect()
+        plan = pairs._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"SortMergeJoin \[[rt]#", plan) and not re.search(r"BroadcastHashJoin \[[rt]#", plan)
+
+
 def test_components(spark):
     pairs = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "d"), ("d", "e"), ("x", "y")], "a string, b string")
     assert {r.w: r.label for r in names.components(pairs).collect()} == {**dict.fromkeys("abcde", "a"), "x": "x", "y": "x"}
